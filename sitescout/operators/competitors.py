@@ -71,7 +71,7 @@ def report_map_rows(found: DataFrame, lat: float, lon: float) -> DataFrame:
         "longitude": F.lit(float(lon)),
     }
     types = dict(found.dtypes)
-    site = found.sparkSession.range(1).select(
+    site = found.sparkSession.range(0, 1, 1, 1).select(
         F.lit("site").alias("kind"),
         *[at_site.get(c, F.lit(None)).cast(types[c]).alias(c) for c in MAP_COLUMNS],
     )

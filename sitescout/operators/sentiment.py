@@ -131,7 +131,7 @@ def business_sentiment(
         found(pos).alias("pos_words"),
         found(neg).alias("neg_words"),
     )
-    average = F.col("_total") / F.col("_matches")
+    average = F.try_divide("_total", "_matches")
     return (
         business.select("business_id")
         .distinct()

@@ -46,7 +46,7 @@ def batch_competitors(
         asked, placed, "cell", F.col("site_id"), F.col("business_id"), per_slice
     )
     distance = distance_km(F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude"))
-    score = F.size(F.array_intersect("wanted", "categories")) / F.size("wanted")
+    score = F.try_divide(F.size(F.array_intersect("wanted", "categories")), F.size("wanted"))
     return (
         left.join(right, ["cell", *SLICES])
         .where((distance < F.col("km")) & (score >= threshold))

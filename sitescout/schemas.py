@@ -51,6 +51,7 @@ NAME_GENDER = _fields(("name", _text), ("gender", _text))
 # A write to a table replaces the row that has the same key.
 KEYS: dict[str, tuple[str, ...]] = {
     TABLES.business_categories: ("business_id", "category"),
+    TABLES.category_profiles: ("business_id",),
     TABLES.business_similarity: ("profile_id1", "profile_id2"),
     TABLES.checkin_hourly: ("business_id", "day_of_week", "day_hour"),
     TABLES.checkin_daily: ("business_id", "day_of_week"),

@@ -25,6 +25,7 @@ class Settings:
 @dataclass(frozen=True)
 class Tables:
     business_categories: str = "business_categories"
+    category_profiles: str = "category_profiles"
     business_similarity: str = "business_similarity"
     checkin_hourly: str = "business_time_check_in"
     checkin_daily: str = "business_day_check_in"
