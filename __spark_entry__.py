@@ -194,7 +194,7 @@ def _word_counts(polarity: int) -> Query:
 
 
 def site_report(spark, sf):
-    lines = report.site_report_lines(fx.site_tables(spark, sf), fx.WANTED, **fx.SITE)
+    lines = report.report_lines(report.site_report(fx.site_tables(spark, sf), fx.WANTED, **fx.SITE))
     is_distance = F.col("section") == "competitor"
     return lines.withColumn("value", F.when(is_distance, F.round("value", 4)).otherwise(F.col("value")))
 

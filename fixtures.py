@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sitescout.functions.calendar import hour_label, weekday_name
 from sitescout.functions.text import words
+from sitescout.joins import spread_over_cores
 from sitescout.operators import checkins, sentiment
 from sitescout.plans.report import SiteTables
 
@@ -30,8 +31,26 @@ NAME_GENDER = [("AUTOMOBILE", "f"), ("BUILDING", "m"), ("HOUSEHOLD", "f"), ("HOU
 MIN_SIMILARITY = 0.25
 
 
+# Stated rather than read from the files, which would take a job per table.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "benchmark": "item_id long, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +101,10 @@ def checkin_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").select(
         F.substring("source", 4, 10).cast("long").alias("business_id"), "text"
     )
+    return spread_over_cores(documents)
 
 
 def tip_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,11 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.lit(EARTH_KM) * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
 
 
+def lat_reach(km: Column) -> Column:
+    """Degrees of latitude that ``km`` can span; what is further north or south is too far."""
+    return F.degrees(km / EARTH_KM) + BOX_MARGIN
+
+
 def bounding_box(lat: float, lon: float, km: float) -> tuple[float, float, list[tuple[float, float]]]:
     """(south, north, longitude ranges) around a point: two ranges if the box crosses ±180°."""
     angle = km / EARTH_KM
@@ -83,8 +88,7 @@ def covering_cells(
 ) -> Column:
     """Array of the cells that a circle around (lat, lon) can touch, each once."""
     angle = km / EARTH_KM
-    reach = F.degrees(angle) + BOX_MARGIN
-    south, north = lat - reach, lat + reach
+    south, north = lat - lat_reach(km), lat + lat_reach(km)
     has_pole = (south <= -90) | (north >= 90)
     half_width = F.degrees(F.asin(F.least(F.lit(1.0), F.sin(angle) / F.cos(F.radians(lat)))))
     half_width = F.when(has_pole, F.lit(180.0)).otherwise(half_width + BOX_MARGIN)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.split() separates words at.
-WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_PUNCTUATION = r"\p{Punct}+"  # ASCII punctuation only
+_WHITESPACE = r"(?U)[\s\x1c-\x1f]+"  # any Unicode white space, and the ASCII separators
 
 # The English stop-word list the results depend on.
 ENGLISH_STOP_WORDS = tuple(
@@ -31,11 +29,9 @@ ENGLISH_STOP_WORDS = tuple(
 def words(text: Column) -> Column:
     """Array of the words of a text: ASCII punctuation is deleted, whitespace separates.
 
-    One translate call does both, turning any whitespace into a blank and dropping punctuation,
-    so that the split is on a single plain character.
+    A text that starts or ends with whitespace gives an empty word there; see ``is_word``.
     """
-    plain = F.translate(text, WHITESPACE + string.punctuation, " " * len(WHITESPACE))
-    return F.split(plain, " ")
+    return F.split(F.regexp_replace(text, _PUNCTUATION, ""), _WHITESPACE)
 
 
 def is_word(word: Column, stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS) -> Column:

@@ -1,24 +1,45 @@
-"""Join helpers for the two things that go wrong at scale: oversized broadcasts and hot keys."""
+"""Helpers against what goes wrong at scale: oversized broadcasts, hot keys, repeated work."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitescout.settings import SETTINGS
 
+SLICES = ["left_slice", "right_slice"]
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = SETTINGS.broadcast_rows) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; counting stops one past the limit."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
 
 def size_checked(df: DataFrame, max_rows: int = SETTINGS.broadcast_rows) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, else return it unmarked.
+    """``df`` marked for broadcast if it is small enough, else unmarked, to be joined by shuffle.
 
-    Counting stops at ``max_rows + 1`` rows. Meant for tables and persisted frames, which are
-    cheap to count; an unmarked frame is joined by shuffle.
+    Meant for stored tables and checkpointed frames, which are cheap to count.
     """
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = SETTINGS.broadcast_rows) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the cluster's checkpoint folder, for several readers.
+
+    The folder is the session's ``spark.checkpoint.dir``. Where none is set, a local session
+    gets a temporary one; on a cluster that is an error, as the folder must be shared.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="sitescout-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
 
 
 def keep_selected(facts: DataFrame, ids: DataFrame, key: str = "business_id") -> DataFrame:
@@ -26,54 +47,74 @@ def keep_selected(facts: DataFrame, ids: DataFrame, key: str = "business_id") ->
     return facts.join(ids.select(key), key, "left_semi")
 
 
-def slice_hot_keys(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    left_id: Column,
-    right_id: Column,
-    per_slice: int = SETTINGS.rows_per_slice,
-) -> tuple[DataFrame, DataFrame]:
-    """Add ``left_slice`` and ``right_slice`` so that a join on (key, left_slice, right_slice)
-    gives the rows of a join on ``key``, spread over many tasks where the key is hot.
+def spread_over_cores(df: DataFrame) -> DataFrame:
+    """A freshly read small table dealt out to all cores, for per-row work that is heavy.
 
-    A key with n rows on a side is cut there into ceil(n / per_slice) slices by the hash of the
-    row id, and the other side is repeated once per slice. Each pair of rows meets in exactly
-    one (left_slice, right_slice) cell. Keys under the limit on both sides are left alone. The
-    hash depends on the row only, so a task that is run again sends its rows to the same place.
+    Only a table with fewer splits than cores is moved; a large one is left as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
-    The table of hot keys holds at most (rows of left + right) / per_slice entries, which is
-    what makes it safe to broadcast.
+
+def hot_keys(left_keys: DataFrame, right_keys: DataFrame | None, key: str, per_slice: int) -> DataFrame:
+    """(key, left_slices, right_slices) of the keys with over ``per_slice`` rows on a side.
+
+    Without ``right_keys`` the join is of ``left_keys`` with itself. The rows are at most one
+    per ``per_slice`` input rows, which is what makes the result safe to broadcast.
     """
-    counted = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
-        right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r"))
-    )
-    hot = (
-        counted.groupBy(key)
-        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-        .where((F.col("l") > per_slice) | (F.col("r") > per_slice))
-        .select(
-            key,
-            F.ceil(F.col("l") / per_slice).cast("int").alias("_left_slices"),
-            F.ceil(F.col("r") / per_slice).cast("int").alias("_right_slices"),
+    if right_keys is None:
+        counted = left_keys.groupBy(key).agg(F.count("*").alias("l")).withColumn("r", F.col("l"))
+    else:
+        both = left_keys.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+            right_keys.select(key, F.lit(0).alias("l"), F.lit(1).alias("r"))
         )
+        counted = both.groupBy(key).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+
+    def slices(rows: str) -> Column:
+        return F.greatest(F.ceil(F.col(rows) / per_slice), F.lit(1)).cast("int")
+
+    return counted.where((F.col("l") > per_slice) | (F.col("r") > per_slice)).select(
+        key, slices("l").alias("left_slices"), slices("r").alias("right_slices")
     )
+
+
+def slice_hot_keys(
+    left: DataFrame, right: DataFrame, key: str, left_id: Column, right_id: Column, hot: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Add ``left_slice`` and ``right_slice`` so that a join on (key, left_slice, right_slice)
+    gives the rows of a join on ``key``, with each ``hot`` key spread over many tasks.
+
+    The rows of a hot key are cut into slices by the hash of their id, and repeated once per
+    slice of the other side: each pair of rows meets in exactly one place. Other keys stay
+    whole. The hash depends on the row only, so a task that is run again sends its rows to the
+    same places.
+    """
     hot = F.broadcast(hot)
 
     def cut(df: DataFrame, row_id: Column, own: str, other: str) -> DataFrame:
-        own_slices = F.greatest(F.coalesce(F.col(f"_{own}_slices"), F.lit(1)), F.lit(1))
-        other_slices = F.greatest(F.coalesce(F.col(f"_{other}_slices"), F.lit(1)), F.lit(1))
+        own_slices = F.coalesce(f"{own}_slices", F.lit(1))
+        other_slices = F.coalesce(f"{other}_slices", F.lit(1))
         return (
             df.join(hot, key, "left")
             .withColumn(f"{own}_slice", F.pmod(F.xxhash64(row_id), own_slices).cast("int"))
             .withColumn(f"{other}_slice", F.explode(F.sequence(F.lit(0), other_slices - 1)))
-            .drop("_left_slices", "_right_slices")
+            .drop("left_slices", "right_slices")
         )
 
     return cut(left, left_id, "left", "right"), cut(right, right_id, "right", "left")
 
 
-SLICES = ["left_slice", "right_slice"]
+def join_in_slices(left: DataFrame, right: DataFrame, key: str, condition: Column) -> DataFrame:
+    """Join sliced sides on the key and the slices, keeping the pairs that meet ``condition``.
+
+    For joins that test far more pairs than they keep: both sides are small in bytes for the
+    work they make, so the number of partitions is fixed and not left to be coalesced by size.
+    """
+    spark = left.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [key, *SLICES]
+    left = left.repartition(partitions, *by).hint("shuffle_hash")
+    return left.join(right.repartition(partitions, *by), by).where(condition)
 
 
 def lookup_join(
@@ -92,7 +133,6 @@ def lookup_join(
     """
     if fits_broadcast(dimension, max_rows):
         return facts.join(F.broadcast(dimension), key, how)
-    cut_facts, cut_dimension = slice_hot_keys(
-        facts, dimension, key, fact_id, F.col(key), per_slice
-    )
+    hot = hot_keys(facts.select(key), dimension.select(key), key, per_slice)
+    cut_facts, cut_dimension = slice_hot_keys(facts, dimension, key, fact_id, F.col(key), hot)
     return cut_facts.join(cut_dimension, [key, *SLICES], how).drop(*SLICES)

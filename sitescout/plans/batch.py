@@ -5,16 +5,19 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sitescout.functions.calendar import hour_number, weekday_number
-from sitescout.functions.geo import covering_cells, distance_km, grid_cell
-from sitescout.joins import SLICES, slice_hot_keys
+from sitescout.functions.geo import covering_cells, distance_km, grid_cell, lat_reach
+from sitescout.joins import cut_lineage, hot_keys, join_in_slices, slice_hot_keys
+from sitescout.operators import sentiment
 from sitescout.operators.categories import category_sets
-from sitescout.operators.sentiment import sentiment_words
-from sitescout.settings import SETTINGS
+from sitescout.plans.report import SiteTables
+from sitescout.settings import SETTINGS, Settings
 
 
 def batch_competitors(
@@ -23,34 +26,44 @@ def batch_competitors(
     pairs: DataFrame,
     threshold: float = SETTINGS.containment_threshold,
     cell_degrees: float = SETTINGS.cell_degrees,
-    per_slice: int = SETTINGS.rows_per_slice,
+    per_slice: int = SETTINGS.places_per_slice,
 ) -> DataFrame:
     """The competitors of every site: (site_id, business columns, distance, score).
 
     Sites are sent to the grid cells their circle can touch and met there with the businesses
     of the cell, which are never repeated; crowded cells are joined in slices. Distance and
-    category match are tested inside the join, so only competitors come out of it.
+    category match are tested inside the join, so only competitors come out of it. Cells should
+    be about as wide as the usual radius: larger ones test more pairs, smaller ones repeat the
+    sites more.
     """
+    lat, lon, km = F.col("lat"), F.col("lon"), F.col("km")
     asked = sites.select(
-        "site_id",
-        "lat",
-        "lon",
-        "km",
+        "site_id", lat, lon, km,
+        (lat - lat_reach(km)).alias("south"),
+        (lat + lat_reach(km)).alias("north"),
         F.array_distinct("wanted").alias("wanted"),
-        F.explode(covering_cells(F.col("lat"), F.col("lon"), F.col("km"), cell_degrees)).alias("cell"),
+        F.explode(covering_cells(lat, lon, km, cell_degrees)).alias("cell"),
     )
-    placed = business.join(category_sets(pairs), "business_id").withColumn(
+    in_cell = business.withColumn(
         "cell", grid_cell(F.col("latitude"), F.col("longitude"), cell_degrees)
     )
     left, right = slice_hot_keys(
-        asked, placed, "cell", F.col("site_id"), F.col("business_id"), per_slice
+        asked,
+        in_cell.join(category_sets(pairs), "business_id"),
+        "cell",
+        F.col("site_id"),
+        F.col("business_id"),
+        hot_keys(asked.select("cell"), in_cell.select("cell"), "cell", per_slice),
     )
-    distance = distance_km(F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude"))
+    distance = distance_km(lat, lon, F.col("latitude"), F.col("longitude"))
     score = F.try_divide(F.size(F.array_intersect("wanted", "categories")), F.size("wanted"))
-    return (
-        left.join(right, ["cell", *SLICES])
-        .where((distance < F.col("km")) & (score >= threshold))
-        .select("site_id", *business.columns, distance.alias("distance"), score.alias("score"))
+    condition = (
+        F.col("latitude").between(F.col("south"), F.col("north"))
+        & (distance < km)
+        & (score >= threshold)
+    )
+    return join_in_slices(left, right, "cell", condition).select(
+        "site_id", *business.columns, distance.alias("distance"), score.alias("score")
     )
 
 
@@ -75,11 +88,18 @@ def batch_weekday_profile(daily: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def batch_hour_profile(hourly: DataFrame, found: DataFrame) -> DataFrame:
+    """As for one site, the mean over the (business, weekday) rows of an hour.
+
+    Rows of a business and hour are added up before they meet the sites of the business.
+    """
+    per_business = hourly.groupBy("business_id", F.col("day_hour").alias("hour")).agg(
+        F.sum("check_in").alias("_total"), F.count("check_in").alias("_rows")
+    )
     return (
         found.select("site_id", "business_id")
-        .join(hourly, "business_id")
-        .groupBy("site_id", F.col("day_hour").alias("hour"))
-        .agg(F.avg("check_in").alias("check_ins"))
+        .join(per_business, "business_id")
+        .groupBy("site_id", "hour")
+        .agg(F.try_divide(F.sum("_total"), F.sum("_rows")).alias("check_ins"))
         .select("site_id", hour_number(F.col("hour")).alias("hour_no"), "hour", "check_ins")
     )
 
@@ -87,7 +107,41 @@ def batch_hour_profile(hourly: DataFrame, found: DataFrame) -> DataFrame:
 def batch_word_counts(sentiments: DataFrame, found: DataFrame, polarity: int) -> DataFrame:
     return (
         found.select("site_id", "business_id")
-        .join(sentiment_words(sentiments, polarity), "business_id")
+        .join(sentiment.sentiment_words(sentiments, polarity), "business_id")
         .groupBy("site_id", F.col("word").alias("text"))
         .agg(F.sum("n").alias("size"))
     )
+
+
+@dataclass(frozen=True)
+class BatchReport:
+    weekdays: DataFrame
+    hours: DataFrame
+    competitors: DataFrame
+    top: DataFrame
+    negative_words: DataFrame
+    positive_words: DataFrame
+
+
+def site_report_batch(
+    tables: SiteTables, sites: DataFrame, settings: Settings = SETTINGS
+) -> BatchReport:
+    """All parts of the report for every site; the competitors are found once for all parts."""
+    found = cut_lineage(
+        batch_competitors(
+            sites,
+            tables.directory,
+            tables.business_categories,
+            settings.containment_threshold,
+            settings.cell_degrees,
+            settings.places_per_slice,
+        )
+    )
+    return BatchReport(
+        weekdays=batch_weekday_profile(tables.checkin_daily, found),
+        hours=batch_hour_profile(tables.checkin_hourly, found),
+        competitors=found,
+        top=batch_top_competitors(found, settings.top_competitors),
+        negative_words=batch_word_counts(tables.sentiments, found, sentiment.NEGATIVE),
+        positive_words=batch_word_counts(tables.sentiments, found, sentiment.POSITIVE),
+    )

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitescout.functions.request import coordinates, radius, wanted_categories
-from sitescout.joins import size_checked
+from sitescout.joins import cut_lineage, size_checked
 from sitescout.operators import checkins, competitors, sentiment
 from sitescout.settings import SETTINGS, Settings
 
@@ -37,19 +36,6 @@ class SiteReport:
     map_rows: DataFrame
 
 
-def _parts(tables: SiteTables, found: DataFrame, ids: DataFrame, lat: float, lon: float, k: int) -> SiteReport:
-    return SiteReport(
-        weekdays=checkins.weekday_profile(tables.checkin_daily, ids),
-        hours=checkins.hour_profile(tables.checkin_hourly, ids),
-        competitors=found,
-        top=competitors.top_competitors(found, k),
-        negative_words=sentiment.word_counts(tables.sentiments, ids, sentiment.NEGATIVE),
-        positive_words=sentiment.word_counts(tables.sentiments, ids, sentiment.POSITIVE),
-        map_rows=competitors.report_map_rows(found, lat, lon),
-    )
-
-
-@contextmanager
 def site_report(
     tables: SiteTables,
     wanted: str | Iterable[str],
@@ -57,27 +43,34 @@ def site_report(
     lon: str | float,
     km: str | float = SETTINGS.default_radius_km,
     settings: Settings = SETTINGS,
-) -> Iterator[SiteReport]:
-    """All parts of the report, to be read inside the ``with`` block.
+) -> SiteReport:
+    """All parts of the report on a site.
 
     The competitors are found once and kept for the parts that build on them. Their ids are
-    broadcast to the big tables if a count shows that they are few enough.
+    broadcast to the check-ins and sentiments if a count shows that they are few enough.
     """
     lat, lon = coordinates(lat, lon)
-    found = competitors.competitors(
-        tables.directory,
-        tables.business_categories,
-        wanted_categories(wanted),
-        lat,
-        lon,
-        radius(km),
-        settings.containment_threshold,
-    ).persist()
-    try:
-        ids = size_checked(found.select("business_id"), settings.broadcast_rows)
-        yield _parts(tables, found, ids, lat, lon, settings.top_competitors)
-    finally:
-        found.unpersist()
+    found = cut_lineage(
+        competitors.competitors(
+            tables.directory,
+            tables.business_categories,
+            wanted_categories(wanted),
+            lat,
+            lon,
+            radius(km),
+            settings.containment_threshold,
+        )
+    )
+    ids = size_checked(found.select("business_id"), settings.broadcast_rows)
+    return SiteReport(
+        weekdays=checkins.weekday_profile(tables.checkin_daily, ids),
+        hours=checkins.hour_profile(tables.checkin_hourly, ids),
+        competitors=found,
+        top=competitors.top_competitors(found, settings.top_competitors),
+        negative_words=sentiment.word_counts(tables.sentiments, ids, sentiment.NEGATIVE),
+        positive_words=sentiment.word_counts(tables.sentiments, ids, sentiment.POSITIVE),
+        map_rows=competitors.report_map_rows(found, lat, lon),
+    )
 
 
 def report_lines(report: SiteReport) -> DataFrame:
@@ -103,27 +96,3 @@ def report_lines(report: SiteReport) -> DataFrame:
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return whole
-
-
-def site_report_lines(
-    tables: SiteTables,
-    wanted: str | Iterable[str],
-    lat: str | float,
-    lon: str | float,
-    km: str | float = SETTINGS.default_radius_km,
-    settings: Settings = SETTINGS,
-) -> DataFrame:
-    """The whole report as one lazy query, with nothing kept in memory between its parts."""
-    lat, lon = coordinates(lat, lon)
-    found = competitors.competitors(
-        tables.directory,
-        tables.business_categories,
-        wanted_categories(wanted),
-        lat,
-        lon,
-        radius(km),
-        settings.containment_threshold,
-    )
-    return report_lines(
-        _parts(tables, found, found.select("business_id"), lat, lon, settings.top_competitors)
-    )

@@ -19,7 +19,8 @@ class Settings:
     broadcast_rows: int = 500_000
     rows_per_slice: int = 50_000
     profiles_per_slice: int = 5_000
-    cell_degrees: float = 0.25
+    places_per_slice: int = 5_000
+    cell_degrees: float = 0.1
 
 
 @dataclass(frozen=True)
