@@ -62,6 +62,7 @@ def inside_box(lat: Column, lon: Column, site_lat: float, site_lon: float, km: f
 
 
 def _lon_cells(degrees: float) -> int:
+    """Cells around the globe. They are of equal width, so that they also meet at ±180°."""
     return math.ceil(360 / degrees)
 
 
@@ -74,7 +75,7 @@ def _lat_cell(lat: Column, degrees: float) -> Column:
 
 
 def _lon_cell(lon: Column, degrees: float) -> Column:
-    return F.floor((lon + 180) / degrees)
+    return F.floor((lon + 180) / (360 / _lon_cells(degrees)))
 
 
 def grid_cell(lat: Column, lon: Column, degrees: float = SETTINGS.cell_degrees) -> Column:

@@ -110,11 +110,9 @@ def join_in_slices(left: DataFrame, right: DataFrame, key: str, condition: Colum
     For joins that test far more pairs than they keep: both sides are small in bytes for the
     work they make, so the number of partitions is fixed and not left to be coalesced by size.
     """
-    spark = left.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [key, *SLICES]
-    left = left.repartition(partitions, *by).hint("shuffle_hash")
-    return left.join(right.repartition(partitions, *by), by).where(condition)
+    return left.repartition(partitions, *by).join(right.repartition(partitions, *by), by).where(condition)
 
 
 def lookup_join(

@@ -18,8 +18,8 @@ def explode_categories(raw: DataFrame) -> DataFrame:
 
 
 def category_pairs(raw: DataFrame) -> DataFrame:
-    """The business_categories table: the exploded pairs, each once."""
-    return explode_categories(raw).distinct()
+    """The business_categories table: the exploded pairs, each once, without NULL categories."""
+    return explode_categories(raw).where(F.col("category").isNotNull()).distinct()
 
 
 def category_sets(pairs: DataFrame) -> DataFrame:

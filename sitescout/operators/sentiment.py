@@ -63,9 +63,9 @@ def lexicon_join(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     A word in both lexicons matches twice. The lexicon goes through the join as one row per
     word with its list of sentiments, so tokens need no shuffle while it fits a broadcast.
     """
-    by_word = lexicon.groupBy("word").agg(F.collect_list("sentiment").alias("_sentiments"))
+    by_word = lexicon.groupBy("word").agg(F.collect_list(F.struct("sentiment")).alias("_matches"))
     joined = lookup_join(tokens, by_word, "word", F.struct(*tokens.columns), how="inner")
-    return joined.select(*tokens.columns, F.explode("_sentiments").alias("sentiment"))
+    return joined.select(*tokens.columns, F.inline("_matches"))
 
 
 def _signs(lexicon: DataFrame) -> DataFrame:

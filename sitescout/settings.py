@@ -15,6 +15,8 @@ class Settings:
     suggestion_min_chars: int = 3
     suggestion_limit: int = 10
 
+    printed_lines: int = 200
+
     # scale limits: they decide how a plan runs, never what it returns
     broadcast_rows: int = 500_000
     rows_per_slice: int = 50_000
