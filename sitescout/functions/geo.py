@@ -16,14 +16,26 @@ BOX_MARGIN = 1e-7
 
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Distance by the spherical law of cosines.
+    """Distance by the spherical law of cosines."""
+    return distance_from_parts(trig_parts(lat1, lon1), trig_parts(lat2, lon2))
+
+
+def trig_parts(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """(sine of latitude, cosine of latitude, longitude in radians): what a point brings to a
+    distance. A join that tests many pairs works them out once per point, not per pair."""
+    return F.sin(F.radians(lat)), F.cos(F.radians(lat)), F.radians(lon)
+
+
+def distance_from_parts(
+    first: tuple[Column, Column, Column], second: tuple[Column, Column, Column]
+) -> Column:
+    """Distance of two points given by their ``trig_parts``.
 
     The cosine is clamped: rounding can push it past 1, where acos gives NaN and a business
     standing exactly on the site would be lost.
     """
-    cosine = F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.cos(
-        F.radians(lon2) - F.radians(lon1)
-    ) + F.sin(F.radians(lat1)) * F.sin(F.radians(lat2))
+    (sin1, cos1, lon1), (sin2, cos2, lon2) = first, second
+    cosine = cos1 * cos2 * F.cos(lon2 - lon1) + sin1 * sin2
     return F.lit(EARTH_KM) * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
 
 

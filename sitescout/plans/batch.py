@@ -12,7 +12,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sitescout.functions.calendar import hour_number, weekday_number
-from sitescout.functions.geo import covering_cells, distance_km, grid_cell, lat_reach
+from sitescout.functions.geo import (
+    covering_cells, distance_from_parts, grid_cell, lat_reach, trig_parts,
+)
 from sitescout.joins import cut_lineage, hot_keys, join_in_slices, slice_hot_keys
 from sitescout.operators import sentiment
 from sitescout.operators.categories import category_sets
@@ -37,15 +39,21 @@ def batch_competitors(
     sites more.
     """
     lat, lon, km = F.col("lat"), F.col("lon"), F.col("km")
+    site_parts, business_parts = ("_sin1", "_cos1", "_lon1"), ("_sin2", "_cos2", "_lon2")
     asked = sites.select(
-        "site_id", lat, lon, km,
+        "site_id",
+        km,
+        *[c.alias(name) for c, name in zip(trig_parts(lat, lon), site_parts)],
         (lat - lat_reach(km)).alias("south"),
         (lat + lat_reach(km)).alias("north"),
         F.array_distinct("wanted").alias("wanted"),
         F.explode(covering_cells(lat, lon, km, cell_degrees)).alias("cell"),
     )
-    in_cell = business.withColumn(
-        "cell", grid_cell(F.col("latitude"), F.col("longitude"), cell_degrees)
+    place = F.col("latitude"), F.col("longitude")
+    in_cell = business.select(
+        "*",
+        grid_cell(*place, cell_degrees).alias("cell"),
+        *[c.alias(name) for c, name in zip(trig_parts(*place), business_parts)],
     )
     left, right = slice_hot_keys(
         asked,
@@ -55,7 +63,7 @@ def batch_competitors(
         F.col("business_id"),
         hot_keys(asked.select("cell"), in_cell.select("cell"), "cell", per_slice),
     )
-    distance = distance_km(lat, lon, F.col("latitude"), F.col("longitude"))
+    distance = distance_from_parts(tuple(map(F.col, site_parts)), tuple(map(F.col, business_parts)))
     score = F.try_divide(F.size(F.array_intersect("wanted", "categories")), F.size("wanted"))
     condition = (
         F.col("latitude").between(F.col("south"), F.col("north"))
