@@ -13,6 +13,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import fixtures as fx  # noqa: E402
 from oracles import ORACLES  # noqa: E402
+from sitescout import joins  # noqa: E402
 from sitescout.operators import categories, checkins, competitors, directory, sentiment, similarity  # noqa: E402
 from sitescout.plans import batch, report  # noqa: E402
 from sitescout.sources import raw, tables  # noqa: E402
@@ -30,6 +31,11 @@ def _competitors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _selected(spark: SparkSession, sf: str) -> DataFrame:
+    """The ids of the competitors, found once, and broadcast if they are few."""
+    return joins.size_checked(joins.cut_lineage(_competitors(spark, sf).select("business_id")))
+
+
 def _bag_text(words: str) -> Column:
     return F.array_join(
         F.transform(words, lambda w: F.concat(w["word"], F.lit(":"), w["n"].cast("string"))), " "
@@ -151,11 +157,11 @@ def checkin_flatten_nested(spark, sf):
 
 
 def weekday_profile(spark, sf):
-    return checkins.weekday_profile(fx.checkin_daily(spark, sf), _competitors(spark, sf))
+    return checkins.weekday_profile(fx.checkin_daily(spark, sf), _selected(spark, sf))
 
 
 def hour_profile(spark, sf):
-    return checkins.hour_profile(fx.checkin_hourly(spark, sf), _competitors(spark, sf))
+    return checkins.hour_profile(fx.checkin_hourly(spark, sf), _selected(spark, sf))
 
 
 # ---- tips and sentiment
@@ -187,7 +193,7 @@ def business_sentiment(spark, sf):
 
 
 def _word_counts(polarity: int) -> Query:
-    return lambda spark, sf: sentiment.word_counts(fx.sentiments(spark, sf), _competitors(spark, sf), polarity)
+    return lambda spark, sf: sentiment.word_counts(fx.sentiments(spark, sf), _selected(spark, sf), polarity)
 
 
 # ---- reports
@@ -205,6 +211,10 @@ def _batch(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _batch_found(spark: SparkSession, sf: str) -> DataFrame:
+    return joins.cut_lineage(_batch(spark, sf).select("site_id", "business_id"))
+
+
 def batch_competitors(spark, sf):
     return _rounded(_batch(spark, sf), 3).select("site_id", "business_id", "name", "stars", "distance", "score")
 
@@ -214,15 +224,15 @@ def batch_top_competitors(spark, sf):
 
 
 def batch_weekday_profile(spark, sf):
-    return batch.batch_weekday_profile(fx.checkin_daily(spark, sf), _batch(spark, sf))
+    return batch.batch_weekday_profile(fx.checkin_daily(spark, sf), _batch_found(spark, sf))
 
 
 def batch_hour_profile(spark, sf):
-    return batch.batch_hour_profile(fx.checkin_hourly(spark, sf), _batch(spark, sf))
+    return batch.batch_hour_profile(fx.checkin_hourly(spark, sf), _batch_found(spark, sf))
 
 
 def _batch_words(polarity: int) -> Query:
-    return lambda spark, sf: batch.batch_word_counts(fx.sentiments(spark, sf), _batch(spark, sf), polarity)
+    return lambda spark, sf: batch.batch_word_counts(fx.sentiments(spark, sf), _batch_found(spark, sf), polarity)
 
 
 QUERIES: dict[str, Query] = {

@@ -35,7 +35,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master.split("[")[0] != "local":
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="sitescout-checkpoint-")
         context.setCheckpointDir(folder)
@@ -59,11 +59,11 @@ def spread_over_cores(df: DataFrame) -> DataFrame:
 def hot_keys(left_keys: DataFrame, right_keys: DataFrame | None, key: str, per_slice: int) -> DataFrame:
     """(key, left_slices, right_slices) of the keys with over ``per_slice`` rows on a side.
 
-    Without ``right_keys`` the join is of ``left_keys`` with itself. The rows are at most one
-    per ``per_slice`` input rows, which is what makes the result safe to broadcast.
+    Without ``right_keys`` the right side has few rows for any key and is not counted. The rows
+    are at most one per ``per_slice`` input rows, which makes the result safe to broadcast.
     """
     if right_keys is None:
-        counted = left_keys.groupBy(key).agg(F.count("*").alias("l")).withColumn("r", F.col("l"))
+        counted = left_keys.groupBy(key).agg(F.count("*").alias("l")).withColumn("r", F.lit(1))
     else:
         both = left_keys.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
             right_keys.select(key, F.lit(0).alias("l"), F.lit(1).alias("r"))
@@ -115,6 +115,26 @@ def join_in_slices(left: DataFrame, right: DataFrame, key: str, condition: Colum
     return left.repartition(partitions, *by).join(right.repartition(partitions, *by), by).where(condition)
 
 
+def join_hot(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_id: Column,
+    right_id: Column | None = None,
+    how: str = "inner",
+    per_slice: int = SETTINGS.rows_per_slice,
+) -> DataFrame:
+    """Join on ``key`` by shuffle, hot keys cut into slices. What is cut is read twice.
+
+    Without ``right_id`` the right side has few rows for any key: it is repeated where the left
+    side is cut, but not cut itself. A left join needs that.
+    """
+    hot = hot_keys(left.select(key), None if right_id is None else right.select(key), key, per_slice)
+    cut_by = F.lit(0) if right_id is None else right_id
+    left, right = slice_hot_keys(left, right, key, left_id, cut_by, hot)
+    return left.join(right, [key, *SLICES], how).drop(*SLICES)
+
+
 def lookup_join(
     facts: DataFrame,
     dimension: DataFrame,
@@ -131,6 +151,4 @@ def lookup_join(
     """
     if fits_broadcast(dimension, max_rows):
         return facts.join(F.broadcast(dimension), key, how)
-    hot = hot_keys(facts.select(key), dimension.select(key), key, per_slice)
-    cut_facts, cut_dimension = slice_hot_keys(facts, dimension, key, fact_id, F.col(key), hot)
-    return cut_facts.join(cut_dimension, [key, *SLICES], how).drop(*SLICES)
+    return join_hot(facts, dimension, key, fact_id, how=how, per_slice=per_slice)

@@ -15,7 +15,7 @@ from sitescout.functions.calendar import hour_number, weekday_number
 from sitescout.functions.geo import (
     covering_cells, distance_from_parts, grid_cell, lat_reach, trig_parts,
 )
-from sitescout.joins import cut_lineage, hot_keys, join_in_slices, slice_hot_keys
+from sitescout.joins import cut_lineage, hot_keys, join_hot, join_in_slices, slice_hot_keys
 from sitescout.operators import sentiment
 from sitescout.operators.categories import category_sets
 from sitescout.plans.report import SiteTables
@@ -85,10 +85,17 @@ def batch_top_competitors(found: DataFrame, k: int = SETTINGS.top_competitors) -
     )
 
 
+def _with_sites(found: DataFrame, facts: DataFrame) -> DataFrame:
+    """Facts about a business, a few per business, for each site it competes with. A business
+    in the middle of a great many sites is joined in slices."""
+    return join_hot(
+        found.select("site_id", "business_id"), facts, "business_id", F.col("site_id")
+    )
+
+
 def batch_weekday_profile(daily: DataFrame, found: DataFrame) -> DataFrame:
     return (
-        found.select("site_id", "business_id")
-        .join(daily, "business_id")
+        _with_sites(found, daily)
         .groupBy("site_id", F.col("day_of_week").alias("day"))
         .agg(F.avg("check_in").alias("check_ins"))
         .select("site_id", weekday_number(F.col("day")).alias("day_no"), "day", "check_ins")
@@ -104,8 +111,7 @@ def batch_hour_profile(hourly: DataFrame, found: DataFrame) -> DataFrame:
         F.sum("check_in").alias("_total"), F.count("check_in").alias("_rows")
     )
     return (
-        found.select("site_id", "business_id")
-        .join(per_business, "business_id")
+        _with_sites(found, per_business)
         .groupBy("site_id", "hour")
         .agg(F.try_divide(F.sum("_total"), F.sum("_rows")).alias("check_ins"))
         .select("site_id", hour_number(F.col("hour")).alias("hour_no"), "hour", "check_ins")
@@ -114,8 +120,7 @@ def batch_hour_profile(hourly: DataFrame, found: DataFrame) -> DataFrame:
 
 def batch_word_counts(sentiments: DataFrame, found: DataFrame, polarity: int) -> DataFrame:
     return (
-        found.select("site_id", "business_id")
-        .join(sentiment.sentiment_words(sentiments, polarity), "business_id")
+        _with_sites(found, sentiment.sentiment_words(sentiments, polarity))
         .groupBy("site_id", F.col("word").alias("text"))
         .agg(F.sum("n").alias("size"))
     )

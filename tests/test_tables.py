@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sitescout import schemas
 from sitescout.__main__ import parser, run as run_command
 from sitescout.functions.request import wanted_categories
-from sitescout.joins import hot_keys, keep_selected, lookup_join, size_checked, slice_hot_keys
+from sitescout.joins import hot_keys, join_hot, keep_selected, lookup_join, size_checked, slice_hot_keys
 from sitescout.operators import categories, checkins, directory
 from sitescout.plans.etl import JOBS, Run, run_jobs
 from sitescout.settings import TABLES
@@ -247,6 +247,14 @@ def test_hot_keys_are_sliced_without_changing_the_join(spark):
     assert a.where("k = 'hot'").select("left_slice").distinct().count() == 8
 
 
+def test_join_hot_cuts_one_side_or_both(spark):
+    left = spark.range(200).select(F.col("id").alias("l"), (F.col("id") > 150).cast("int").alias("k"))
+    right = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c")], "k int, r string")
+    expected = rows(left.join(right, "k"), "l", "r")
+    assert rows(join_hot(left, right, "k", F.col("l"), per_slice=9), "l", "r") == expected
+    assert rows(join_hot(left, right, "k", F.col("l"), F.col("r"), per_slice=1), "l", "r") == expected
+
+
 def test_lookup_join_by_broadcast_and_by_slices(spark):
     facts = spark.range(100).select(F.col("id"), F.when(F.col("id") < 90, "a").otherwise(F.col("id").cast("string")).alias("k"))
     dim = spark.createDataFrame([("a", 1), ("95", 2)], "k string, v int")
