@@ -104,15 +104,16 @@ def slice_hot_keys(
     return cut(left, left_id, "left", "right"), cut(right, right_id, "right", "left")
 
 
-def join_in_slices(left: DataFrame, right: DataFrame, key: str, condition: Column) -> DataFrame:
-    """Join sliced sides on the key and the slices, keeping the pairs that meet ``condition``.
+def join_in_slices(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join sliced sides on the key and the slices.
 
-    For joins that test far more pairs than they keep: both sides are small in bytes for the
-    work they make, so the number of partitions is fixed and not left to be coalesced by size.
+    These joins make far more work than their sides have bytes, so the number of partitions is
+    fixed and not left to be coalesced by size.
     """
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [key, *SLICES]
-    return left.repartition(partitions, *by).join(right.repartition(partitions, *by), by).where(condition)
+    joined = left.repartition(partitions, *by).join(right.repartition(partitions, *by), by, how)
+    return joined.drop(*SLICES)
 
 
 def join_hot(
@@ -132,7 +133,7 @@ def join_hot(
     hot = hot_keys(left.select(key), None if right_id is None else right.select(key), key, per_slice)
     cut_by = F.lit(0) if right_id is None else right_id
     left, right = slice_hot_keys(left, right, key, left_id, cut_by, hot)
-    return left.join(right, [key, *SLICES], how).drop(*SLICES)
+    return join_in_slices(left, right, key, how)
 
 
 def lookup_join(

@@ -70,7 +70,7 @@ def batch_competitors(
         & (distance < km)
         & (score >= threshold)
     )
-    return join_in_slices(left, right, "cell", condition).select(
+    return join_in_slices(left, right, "cell").where(condition).select(
         "site_id", *business.columns, distance.alias("distance"), score.alias("score")
     )
 

@@ -1,4 +1,7 @@
-"""Explicit schemas of the raw files, and the key of each derived table."""
+"""Explicit schemas of the raw files, and the key of each derived table.
+
+The field names are fixed values: the files have them.
+"""
 
 from __future__ import annotations
 

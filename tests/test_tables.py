@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sitescout import schemas
 from sitescout.__main__ import parser, run as run_command
 from sitescout.functions.request import wanted_categories
-from sitescout.joins import hot_keys, join_hot, keep_selected, lookup_join, size_checked, slice_hot_keys
+from sitescout.joins import cut_lineage, hot_keys, join_hot, keep_selected, lookup_join, size_checked, slice_hot_keys
 from sitescout.operators import categories, checkins, directory
 from sitescout.plans.etl import JOBS, Run, run_jobs
 from sitescout.settings import TABLES
@@ -274,3 +274,13 @@ def test_keep_selected_does_not_repeat_rows(spark):
     facts = spark.createDataFrame([("a", 1), ("b", 2)], "business_id string, v int")
     ids = spark.createDataFrame([("a",), ("a",)], "business_id string")
     assert rows(keep_selected(facts, ids), "v") == [(1,)]
+
+
+def test_shared_results_go_to_the_checkpoint_folder(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    kept = cut_lineage(spark.range(5))
+    assert list(tmp_path.rglob("part-*")) and kept.count() == 5
+    assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    if before:
+        spark.sparkContext.setCheckpointDir(before)
