@@ -38,7 +38,7 @@ def parser() -> argparse.ArgumentParser:
     site.add_argument("--lon", required=True)
     site.add_argument("--categories", required=True, help="separated by commas")
     site.add_argument("--km", default=SETTINGS.default_radius_km)
-    site.add_argument("--out", help="directory for the report as Parquet; printed otherwise")
+    site.add_argument("--out", help="directory for the whole report as Parquet; else its first lines are printed")
 
     search = commands.add_parser("search", help="suggest categories")
     search.add_argument("--tables", required=True)
