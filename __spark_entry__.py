@@ -279,6 +279,21 @@ QUERIES: dict[str, Query] = {
 }
 
 
+CORE = tuple(QUERIES)
+
+try:  # the corpus operators are one removable subpackage, with the pipeline built on them
+    import corpus_pipeline
+    from sitescout.llm import queries as corpus_queries
+except ImportError:
+    pass
+else:
+    QUERIES.update(corpus_queries.QUERIES)
+    QUERIES["pipeline"] = corpus_pipeline.run
+    ORACLES.update(corpus_queries.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The competitors of the planned business at sf0.001."""
     return site_competitors(spark, "/root/testdata/sf0.001")

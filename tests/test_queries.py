@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 from oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(contract.queries())
+NAMES = sorted(contract.CORE)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert set(contract.CORE) <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", NAMES)
