@@ -48,12 +48,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, width: int) -> DataFrame:
-    """A stored table of few rows, marked for broadcast if it has at most ``BROADCAST_BYTES``.
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if its values take at most ``BROADCAST_BYTES``.
 
-    ``width`` bounds the bytes of a row. Beyond the limit the table is joined by shuffle.
+    Beyond that it is joined by shuffle, where Spark splits the partitions of hot keys.
     """
-    return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df
+    widths = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    widths += [8 * F.greatest(F.size(c), F.lit(1)) for c, kind in df.dtypes if kind.startswith("array")]
+    width = sum(widths, F.lit(16 * len(df.columns)).cast("long"))
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
