@@ -42,31 +42,37 @@ def _kmers(pieces: Column, k: int) -> Column:
     """The k-mers, each hashed with its place, in order of hash: equal ones stand together."""
     last = F.greatest(F.size(pieces) - k, F.lit(0))
     places = F.when(F.size(pieces) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.sort_array(F.transform(places, lambda i: _with_place(F.xxhash64(F.slice(pieces, i + 1, k)), i.cast("long"))))
+
+    def kmer(i: Column) -> Column:
+        return F.xxhash64(*[F.get(pieces, i + j) for j in range(k)])
+
+    return F.sort_array(F.transform(places, lambda i: _with_place(kmer(i), i.cast("long"))))
 
 
 def _numbered(ordered: Column) -> Column:
     """Repeats of a k-mer hashed anew with their number, in order of hash. The first stays."""
 
-    def same(x: Column, i: Column) -> Column:
-        return (i > 0) & (F.get(ordered, i - 1).bitwiseXOR(x) <= PLACE)
+    def same_in(array: Column):
+        return lambda x, i: (i > 0) & (F.get(array, i - 1).bitwiseXOR(x) <= F.lit(PLACE).cast("long"))
+
+    def renumbered(repeats: Column) -> Column:
+        starts = F.filter(
+            F.transform(repeats, lambda x, i: F.when(same_in(repeats)(x, i), F.lit(-1)).otherwise(i)), lambda i: i >= 0
+        )
 
-    def run(starts: Column) -> Column:
-        def number(s: Column, j: Column) -> Column:
-            return F.transform(
-                F.slice(ordered, s + 1, F.coalesce(F.get(starts, j + 1), F.size(ordered)) - s),
-                lambda x, n: F.when(n == 0, x).otherwise(
-                    _with_place(F.xxhash64(x.bitwiseAND(F.lit(HASH)), n), x.bitwiseAND(F.lit(PLACE)))
-                ),
-            )
+        def run(starts: Column) -> Column:
+            def number(s: Column, j: Column) -> Column:
+                return F.transform(
+                    F.slice(repeats, s + 1, F.coalesce(F.get(starts, j + 1), F.size(repeats)) - s),
+                    lambda x, n: _with_place(F.xxhash64(x.bitwiseAND(F.lit(HASH)), n), x.bitwiseAND(F.lit(PLACE))),
+                )
 
-        return F.flatten(F.transform(starts, number))
+            return F.flatten(F.transform(starts, number))
 
-    starts = F.filter(
-        F.transform(ordered, lambda x, i: F.when(same(x, i), F.lit(-1)).otherwise(i)), lambda i: i >= 0
-    )
-    repeats = F.size(F.filter(ordered, same))
-    return F.when(repeats == 0, ordered).otherwise(F.sort_array(_let(starts, run)))
+        firsts = F.filter(ordered, lambda x, i: ~same_in(ordered)(x, i))
+        return F.when(F.size(repeats) == 0, ordered).otherwise(F.sort_array(F.concat(firsts, _let(starts, run))))
+
+    return _let(F.filter(ordered, same_in(ordered)), renumbered)
 
 
 def _smallest(ordered: Column, per_slot: int, slot_shift: int) -> Column:
