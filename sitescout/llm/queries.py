@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitescout.llm import decontaminate, fingerprints, line_dedup, mixture, token_counts
+from sitescout.llm import decontaminate, fingerprints, line_dedup, mixture, near_dedup, token_counts
 from sitescout.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "n_spans", kept)
 
 
+def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, threshold=0.8)
+
+
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op3_line_dedup": op3_line_dedup,
+    "op4_hyperminhash": op4_hyperminhash,
     "op5_order_minhash": op5_order_minhash,
     "op7_decontamination": op7_decontamination,
     "op9_source_mix": op9_source_mix,
@@ -65,6 +70,20 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM d LEFT JOIN agg USING (doc_id)
 """
 
+NEAR_DEDUP_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 80 * (na.n + nb.n - common)),
+r AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 DECONTAMINATION_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
@@ -104,6 +123,7 @@ SELECT doc_id, size, source_size, target, (size * (floor(rate) + (u < rate - flo
 
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP_SQL,
+    "op4_hyperminhash": NEAR_DEDUP_SQL,
     "op7_decontamination": DECONTAMINATION_SQL,
     "op9_source_mix": SOURCE_MIX_SQL,
 }
