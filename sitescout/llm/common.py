@@ -48,23 +48,47 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def value_bytes(df: DataFrame) -> int:
+    """About the bytes that the values of ``df`` take in memory, and no less."""
+    widths = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    widths += [8 * F.greatest(F.size(c), F.lit(1)) for c, kind in df.dtypes if kind.startswith("array")]
+    width = sum(widths, F.lit(16 * len(df.columns)).cast("long"))
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """A stored table, marked for broadcast if its values take at most ``BROADCAST_BYTES``.
 
     Beyond that it is joined by shuffle, where Spark splits the partitions of hot keys.
     """
-    widths = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
-    widths += [8 * F.greatest(F.size(c), F.lit(1)) for c, kind in df.dtypes if kind.startswith("array")]
-    width = sum(widths, F.lit(16 * len(df.columns)).cast("long"))
-    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES else df
+    return F.broadcast(df) if value_bytes(df) <= BROADCAST_BYTES else df
+
 
+def broadcast_parts(df: DataFrame, key: str) -> list[DataFrame]:
+    """A stored table dealt by key into parts for broadcast, of about ``BROADCAST_BYTES`` at most."""
+    parts = -(-value_bytes(df) // BROADCAST_BYTES) or 1
+    return [F.broadcast(df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == i)) for i in range(parts)]
 
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equality of the key columns in which nulls are equal."""
-    condition = F.lit(True)
-    for key in keys:
-        condition &= left[key].eqNullSafe(right[key])
-    return condition
+
+def bring_together(pairs: DataFrame, texts: DataFrame, per_slice: int) -> DataFrame:
+    """(a, slice, b, text) of stored ``pairs`` (a, b) of ids and ``texts`` (id, text), for comparison.
+
+    Partitions are sorted by (a, slice); first come the text of a, with b null, then those of each
+    b. So the text of b travels once per pair. The members of a common a are cut into slices of
+    about ``per_slice``, each of which gets the text of a.
+    """
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    texts = stored(texts.join(broadcast_if_small(stored(ids)), "id"))
+    slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / per_slice).cast("int").alias("slices"))
+    leaders = texts.withColumnRenamed("id", "a").join(slices, "a")
+    leaders = leaders.select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(None).cast("long").alias("b"), "text"
+    )
+    members = pairs.join(slices, "a")
+    members = members.select("a", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int").alias("slice"), "b")
+    members = members.join(texts.withColumnRenamed("id", "b"), "b").select("a", "slice", "b", "text")
+    met = leaders.unionByName(members).repartition("a", "slice")
+    return met.sortWithinPartitions("a", "slice", F.col("b").asc_nulls_first())
 
 
 # ---- vectorised hashing of many byte strings laid end to end

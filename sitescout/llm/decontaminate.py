@@ -3,7 +3,8 @@
 Each benchmark item is cut into windows of 13 words (a shorter one is one window). The words of
 the windows are counted over the whole corpus. For each window the places of its two rarest
 words are taken from the index of (term, document, position) postings, shifted by the word's
-place in the window, and intersected. What is left is compared with the window word by word.
+place in the window, and intersected. What is left is compared with the window word by word, by
+the words that the index keeps around the places of the rarest.
 
 Words are runs of digits, letters a-z and all characters beyond ASCII, after A-Z are made lower
 case. Null texts, and items without words, match nothing. Rows equal in id and text are one
@@ -14,10 +15,12 @@ only; ``decontaminate`` passes all columns through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import broadcast_if_small, stored
+from sitescout.llm.common import broadcast_if_small, broadcast_parts, stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,54 +76,67 @@ def window_terms(phrases: DataFrame, corpus: DataFrame, rarest: int = RAREST) ->
     return ranked.where((F.col("least") > 0) & (F.col("rank") <= rarest)).select("window", "rank", "term", "place")
 
 
-def postings(corpus: DataFrame, terms: DataFrame) -> DataFrame:
-    """The index: (term, doc_id, _text_hash, position) of the given terms in all documents."""
-    placed = corpus.select(*ROW, F.posexplode("words").alias("position", "term"))
-    return placed.join(terms.select("term"), "term")
+def postings(corpus: DataFrame, terms: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The index: (term, doc_id, _text_hash, position, around) of ``terms`` (term, is_rarest).
+
+    ``around`` has the words within a window's length of the position, for the rarest terms. Terms
+    too many for one broadcast are looked up in several passes.
+    """
+    position = F.col("position")
+    first = F.greatest(position - (size - 1), F.lit(0))
+    around = F.when(F.col("is_rarest"), F.slice("words", first + 1, position - first + size))
+    placed = corpus.select(*ROW, "words", F.posexplode("words").alias("position", "term"))
+    passes = [placed.join(part, "term").select("term", *ROW, "position", around.alias("around")) for part in broadcast_parts(terms, "term")]
+    return reduce(DataFrame.unionByName, passes)
 
 
 def intersect(index: DataFrame, terms: DataFrame, slack: int = 0) -> DataFrame:
-    """(window, doc_id, _text_hash, start): where the rarest terms of a window stand as in it.
+    """(window, doc_id, _text_hash, start, position): where the rarest terms stand as in a window.
 
-    With ``slack`` the second rarest may stand up to so many words nearer or farther: these are
-    proximity matches. Windows of one word have one list only.
+    ``position`` is that of the rarest term. With ``slack`` the second rarest may stand up to so
+    many words nearer or farther: these are proximity matches. Windows of one word have one list.
     """
     terms = broadcast_if_small(stored(terms))
-    shifted = index.join(terms, "term").select("window", "rank", *ROW, (F.col("position") - F.col("place")).alias("start"))
-    single = terms.groupBy("window").agg(F.max("rank").alias("lists"))
+    shifted = index.join(terms, "term").select(
+        "window", "rank", *ROW, (F.col("position") - F.col("place")).alias("start"), "position"
+    )
+    single = terms.groupBy("window").agg(F.max("rank").alias("lists")).where("lists = 1").select("window")
     first = shifted.where("rank = 1").drop("rank")
     others = shifted.where("rank > 1").select("window", *ROW, "start")
     if slack:
         spread = F.explode(F.sequence(F.col("start") - slack, F.col("start") + slack))
         others = others.select("window", *ROW, spread.alias("start")).distinct()
-    alone = first.join(single.where("lists = 1"), "window", "left_semi")
-    other = others.select(F.col("window").alias("_w"), F.col("doc_id").alias("_d"), F.col("_text_hash").alias("_h"), F.col("start").alias("_s"))
+    alone = first.join(single, "window", "left_semi")
+    other = others.withColumnsRenamed({"window": "_w", "doc_id": "_d", "_text_hash": "_h", "start": "_s"})
     same = (first["window"] == other["_w"]) & first["doc_id"].eqNullSafe(other["_d"])
     same &= (first["_text_hash"] == other["_h"]) & (first["start"] == other["_s"])
-    return first.join(other, same, "left_semi").unionByName(alone).where("start >= 0")
+    return first.join(other, same, "left_semi").unionByName(alone).where("start >= 0").distinct()
 
 
-def phrase_matches(corpus: DataFrame, candidates: DataFrame, phrases: DataFrame) -> DataFrame:
-    """The candidates at which the document has the window word by word, with its length."""
-    phrases = broadcast_if_small(stored(phrases.select("window", "phrase").distinct()))
-    found = broadcast_if_small(stored(candidates))
-    found = found.withColumnsRenamed({"doc_id": "_doc", "_text_hash": "_hash"})
-    same = corpus["doc_id"].eqNullSafe(found["_doc"]) & (corpus["_text_hash"] == found["_hash"])
+def phrase_matches(index: DataFrame, candidates: DataFrame, phrases: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(window, doc_id, _text_hash, start, length): candidates that have the window word by word."""
+    phrases = broadcast_if_small(phrases.select("window", "phrase").distinct())
+    context = index.where("around is not null").select(
+        F.col("doc_id").alias("_d"), F.col("_text_hash").alias("_h"), F.col("position").alias("_p"), "around"
+    )
+    same = candidates["doc_id"].eqNullSafe(context["_d"]) & (candidates["_text_hash"] == context["_h"])
+    same &= candidates["position"] == context["_p"]
+    first = F.greatest(F.col("position") - (size - 1), F.lit(0))
     return (
-        corpus.join(found, same)
+        candidates.join(context, same)
         .join(phrases, "window")
-        .where(F.slice("words", F.col("start") + 1, F.size("phrase")) == F.col("phrase"))
+        .where(F.slice("around", F.col("start") - first + 1, F.size("phrase")) == F.col("phrase"))
         .select("window", *ROW, "start", F.size("phrase").alias("length"))
         .distinct()
     )
 
 
-def find_phrases(corpus: DataFrame, phrases: DataFrame) -> DataFrame:
+def find_phrases(corpus: DataFrame, phrases: DataFrame, size: int = WINDOW) -> DataFrame:
     """Every occurrence of every window in the documents. Both tables are stored ones."""
     terms = stored(window_terms(phrases, corpus))
-    keys = broadcast_if_small(stored(terms.select("term").distinct()))
-    index = stored(postings(corpus, keys))
-    return phrase_matches(corpus, intersect(index, terms), phrases)
+    keys = stored(terms.groupBy("term").agg((F.min("rank") == 1).alias("is_rarest")))
+    index = stored(postings(corpus, keys, size))
+    return phrase_matches(index, stored(intersect(index, terms)), phrases, size)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least: float = 0.05) -> DataFrame:
@@ -131,7 +147,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, lea
     """
     phrases = stored(phrase_windows(benchmark, size))
     corpus = stored(parsed(docs))
-    matches = stored(find_phrases(corpus, phrases))
+    matches = stored(find_phrases(corpus, phrases, size))
     covered = matches.select(*ROW, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("p"))
     hits = covered.distinct().groupBy(*ROW).agg(F.count("*").alias("n_hit"))
     items = (

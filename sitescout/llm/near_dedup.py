@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import as_bytes, broadcast_if_small, mix, prefix_sums, span_hashes, stored, words_of
+from sitescout.llm.common import as_bytes, bring_together, broadcast_if_small, mix, prefix_sums, span_hashes, stored, words_of
 from sitescout.llm.components import components
 
 REGISTERS, PER_BAND, MANTISSA_BITS = 128, 4, 10
@@ -219,26 +219,8 @@ def _verified(size: int, percent: int):
 
 
 def verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The links (u, v) among stored ``pairs`` (a, b), confirmed on the full sets.
-
-    The text of b travels to a, once per pair. The members of a common a are cut into slices, each
-    of which gets the text of a.
-    """
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    ids = broadcast_if_small(stored(ids))
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id"))
-    slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_SLICE).cast("int").alias("slices"))
-    slices = slices.withColumnRenamed("a", "id")
-    leaders = texts.join(slices, "id").select(
-        F.col("id").alias("a"),
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-        F.lit(None).cast("long").alias("b"),
-        "text",
-    )
-    members = pairs.join(slices.withColumnRenamed("id", "a"), "a")
-    members = members.select("a", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int").alias("slice"), "b")
-    members = members.join(texts.withColumnRenamed("id", "b"), "b").select("a", "slice", "b", "text")
-    met = leaders.unionByName(members).repartition("a", "slice").sortWithinPartitions("a", "slice", F.col("b").asc_nulls_first())
+    """The links (u, v) among stored ``pairs`` (a, b), confirmed on the full sets."""
+    met = bring_together(pairs, docs.select(F.col("doc_id").cast("long").alias("id"), "text"), MEMBERS_PER_SLICE)
     return met.mapInArrow(_verified(size, percent), "u long, v long").distinct()
 
 
