@@ -16,7 +16,12 @@ FOLDS, HELD_OUT = 4, 2
 BROADCAST_BYTES = 16 << 20
 
 
+#: Where this package lies, for Python workers that are not told by their environment.
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.sparkContext.environment.setdefault("PYTHONPATH", HOME)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -71,23 +76,21 @@ def broadcast_parts(df: DataFrame, key: str) -> list[DataFrame]:
 
 
 def bring_together(pairs: DataFrame, texts: DataFrame, per_slice: int) -> DataFrame:
-    """(a, slice, b, text) of stored ``pairs`` (a, b) of ids and ``texts`` (id, text), for comparison.
+    """(a, slice, slices, b, text) of stored ``pairs`` (a, b, weight) and ``texts`` (id, text).
 
-    Partitions are sorted by (a, slice); first come the text of a, with b null, then those of each
-    b. So the text of b travels once per pair. The members of a common a are cut into slices of
-    about ``per_slice``, each of which gets the text of a.
+    Partitions are sorted by (a, slice); first come the texts of a, with b null, then those of
+    each b. So the text of b travels once per pair. The members of a common a are cut into slices
+    of about ``per_slice`` in weight, each of which gets the text of a.
     """
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = stored(texts.join(broadcast_if_small(stored(ids)), "id"))
-    slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / per_slice).cast("int").alias("slices"))
-    leaders = texts.withColumnRenamed("id", "a").join(slices, "a")
-    leaders = leaders.select(
-        "a", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(None).cast("long").alias("b"), "text"
-    )
-    members = pairs.join(slices, "a")
-    members = members.select("a", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int").alias("slice"), "b")
-    members = members.join(texts.withColumnRenamed("id", "b"), "b").select("a", "slice", "b", "text")
-    met = leaders.unionByName(members).repartition("a", "slice")
+    slices = pairs.groupBy("a").agg(F.ceil(F.sum("weight") / per_slice).cast("int").alias("slices"))
+    leaders = texts.withColumnRenamed("id", "a").join(slices, "a").withColumn("b", F.lit(None).cast("long"))
+    leaders = leaders.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    members = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int"))
+    members = members.join(texts.withColumnRenamed("id", "b"), "b")
+    columns = ["a", "slice", "slices", "b", "text"]
+    met = leaders.select(columns).unionByName(members.select(columns)).repartition("a", "slice")
     return met.sortWithinPartitions("a", "slice", F.col("b").asc_nulls_first())
 
 

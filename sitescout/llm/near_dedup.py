@@ -3,14 +3,20 @@
 The set of a document's word shingles is dealt by hash to 128 buckets. Of the smallest hash in
 each bucket a 16-bit register keeps the number of leading zeros (6 bits) and the bits after the
 first one (10 bits); empty buckets borrow from the next. Four registers are a band of 64 bits.
-Documents that share a band are candidates. Their Jaccard similarity is estimated from equal
-registers, less the equality that chance gives to registers of such sizes; those that may reach
-the threshold are verified on their full sets of shingles.
+Documents that share a band are candidates; equal sets are one class, compared once.
 
-Equal sets are one class from the start. Within a band, classes are compared with the band's
-first class; a class tries its likeliest partner first, then the others; at last, in bands whose
-classes are not yet connected, all pairs across components are compared. So no pair is skipped
-but those that are connected already, and the copies of one text are never paired with each other.
+Comparing all pairs of a band's classes would cost the square of their number. Instead each is
+compared, on its full set, with the smallest class of the band, the leader. Those linked to it are
+connected. Two classes of which one is not linked to the leader can only be linked if they share
+shingles that the leader does not have: a link needs an overlap of p (|x| + |y|) / (1 + p) shingles,
+and no y is smaller than the leader, so more than x shares with the leader. How many more is known,
+so pairs are sought by prefixes of those shingles, rarest first. The similarity of such a pair is
+estimated from equal registers, less the equality that chance gives to registers of such sizes,
+and if it may reach the threshold the pair is verified on its full sets. Nothing is skipped but
+pairs that are connected already.
+
+The members of a leader are cut into slices that fit a task. Pairs across the slices of a leader
+meet in a further round, in groups of members that share such a shingle.
 
 A pair at the very threshold shares no band with probability (1 - 0.8^4)^32 < 10^-7.
 
@@ -22,6 +28,7 @@ of all. Rows without id get no component and are kept. Other columns are not rea
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +45,8 @@ ESTIMATED_FROM = 256
 #: Standard deviations of the estimate below the threshold at which a pair is given up.
 SPREADS = 5
 CHUNK_BYTES = 1 << 20
-MEMBERS_PER_SLICE = 500
+#: What a task holds of a leader's members at once: 8 bytes each, and some copies.
+SHINGLES_PER_SLICE = 1 << 20
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -155,84 +163,187 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return ((a == b).mean(axis=1) - p) / (1 - p)
 
 
-# ---- candidates
+# ---- comparison of a leader's members
 
 
-def _estimated(threshold: float):
-    spread = SPREADS * (threshold * (1 - threshold) / REGISTERS) ** 0.5
+class _Links:
+    """Sets of members known to be connected; number 0 is the leader."""
 
-    def rows_of(batch: pa.RecordBatch, name: str) -> np.ndarray:
-        flat = batch.column(name).flatten().to_numpy(zero_copy_only=False)
-        return flat.view(np.uint16).reshape(batch.num_rows, REGISTERS)
+    def __init__(self, n: int) -> None:
+        self.parent = list(range(n))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            likely = estimate(rows_of(batch, "bands_a"), rows_of(batch, "bands_b"), n_a, n_b)
-            keep = (likely >= threshold - spread) | (np.minimum(n_a, n_b) < ESTIMATED_FROM)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep)), pa.array(likely[keep])],
-                ["a", "b", "likely"],
-            )
+    def root(self, i: int) -> int:
+        parent = self.parent
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
 
-    return run
+    def join(self, i: int, j: int) -> None:
+        self.parent[self.root(j)] = self.root(i)
 
 
-def likely_pairs(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, likely): the distinct ``pairs`` whose estimated similarity may reach the threshold."""
-    for side in "ab":
-        own = sketches.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("bands").alias(f"bands_{side}"))
-        pairs = pairs.join(own, side)
-    percent = round(100 * threshold)
-    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return pairs.where(fits).mapInArrow(_estimated(threshold), "a long, b long, likely double")
+def _is_link(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[bool, np.ndarray]:
+    """Whether the sets are linked, and which elements of x are in y."""
+    inside = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+    both = int(inside.sum())
+    return 100 * both >= percent * (len(x) + len(y) - both), inside
+
+
+def _may_be_link(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    low, high = sorted((len(x), len(y)))
+    if 100 * low < percent * high:
+        return False
+    if low < ESTIMATED_FROM:
+        return True
+    p = percent / 100
+    likely = estimate(_registers(x)[None], _registers(y)[None], np.array([len(x)]), np.array([len(y)]))[0]
+    return likely >= p - SPREADS * (p * (1 - p) / REGISTERS) ** 0.5
 
 
-# ---- verification
+def _prefixes(rests: list[np.ndarray], lengths: np.ndarray, rarest_first: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(element, member) of the first ``lengths`` elements of each of ``rests``, in a common order."""
+    owner = np.repeat(np.arange(len(rests)), [len(r) for r in rests])
+    element = np.concatenate(rests)
+    if rarest_first:
+        _, inverse, counts = np.unique(element, return_inverse=True, return_counts=True)
+        count = counts[inverse]
+        order = np.lexsort((element, count, owner))
+        owner, element, count = owner[order], element[order], count[order]
+    rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    keep = rank < lengths[owner]
+    if rarest_first:
+        keep &= count > 1
+    return element[keep], owner[keep]
 
 
-def _verified(size: int, percent: int):
+def compare_members(
+    leader: np.ndarray, sets: list[np.ndarray], percent: int, sliced: bool
+) -> tuple[list[tuple[int, int]], tuple[np.ndarray, np.ndarray]]:
+    """Links among members 1, 2, ... and the leader, 0; and the prefixes to meet other slices by.
+
+    Every two that are linked are connected by the links returned.
+    """
+    links: list[tuple[int, int]] = []
+    linked = np.zeros(len(sets) + 1, bool)
+    rests, lengths = [leader[:0]], [0]
+    for i, x in enumerate(sets, 1):
+        linked[i], inside = _is_link(x, leader, percent)
+        rests.append(x[~inside])
+        if linked[i]:
+            links.append((0, i))
+            lengths.append(len(rests[i]))
+        else:
+            least = max(len(leader), -(-percent * len(x) // 100))
+            needed = -(-percent * (len(x) + least) // (100 + percent)) - int(inside.sum())
+            lengths.append(max(0, len(rests[i]) - needed + 1))
+    nothing = np.empty(0, np.uint64), np.empty(0, np.int64)
+    lengths = np.array(lengths)
+    outward = _prefixes(rests, lengths, False) if sliced else nothing
+    if linked[1:].all():
+        return links, outward
+    known = _Links(len(rests))
+    for _, i in links:
+        known.join(0, i)
+    element, owner = _prefixes(rests, lengths, True)
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    bounds = np.flatnonzero(np.r_[True, element[1:] != element[:-1], True]) if len(element) else []
+    tried: set[tuple[int, int]] = set()
+    for start, end in zip(bounds[:-1], bounds[1:]):
+        members = owner[start:end].tolist()
+        if len({known.root(i) for i in members}) == 1:
+            continue
+        for k, i in enumerate(members):
+            for j in members[k + 1 :]:
+                if known.root(i) == known.root(j) or (i, j) in tried:
+                    continue
+                tried.add((i, j))
+                x, y = sets[i - 1], sets[j - 1]
+                if _may_be_link(x, y, percent) and _is_link(x, y, percent)[0]:
+                    known.join(i, j)
+                    links.append((i, j))
+    return links, outward
+
+
+COMPARED = "u long, v long, element long"
+
+
+def _compared(size: int, percent: int):
+    """Over partitions of ``bring_together``: links (u, v), and (a, b, element) across slices."""
+
+    def finish(group, leaders, ids, sets, out) -> None:
+        a, _, sliced = group
+        leaders.sort(key=len)
+        if not leaders or not ids:
+            return
+        links, (element, owner) = compare_members(leaders[0], sets, percent, sliced)
+        numbers = np.array([a, *ids], np.int64)
+        ends = numbers[np.array(links, np.int64).reshape(-1, 2)]
+        more = [(a, b) for b, x in zip(ids, sets) for y in leaders[1:] if _is_link(x, y, percent)[0]]
+        ends = np.concatenate([ends, np.array(more, np.int64).reshape(-1, 2)])
+        out.append((ends[:, 0], ends[:, 1], np.zeros(len(ends), np.int64), np.ones(len(ends), bool)))
+        out.append((np.full(len(owner), a), numbers[owner], element.view(np.int64), np.zeros(len(owner), bool)))
+
+    def as_batch(out) -> pa.RecordBatch:
+        u, v, element, is_link = (np.concatenate(x) for x in zip(*out))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(element, pa.int64(), mask=is_link)], ["u", "v", "element"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, leaders = None, []
+        group, leaders, ids, sets = None, [], [], []
         for batch in batches:
-            linked_a, linked_b = [], []
-            columns = [batch.column(c).to_pylist() for c in ("a", "slice", "b")]
-            sets = shingle_sets((t.as_py() for t in batch.column("text")), size)
-            for a, part, b, found in zip(*columns, sets):
-                if (a, part) != group:
-                    group, leaders = (a, part), []
+            out: list[tuple] = []
+            columns = [batch.column(c).to_pylist() for c in ("a", "slice", "slices", "b")]
+            found_sets = shingle_sets((t.as_py() for t in batch.column("text")), size)
+            for a, part, slices, b, found in zip(*columns, found_sets):
+                if (a, part, slices > 1) != group:
+                    if group:
+                        finish(group, leaders, ids, sets, out)
+                    group, leaders, ids, sets = (a, part, slices > 1), [], [], []
+                if not len(found):
+                    continue  # another text of a repeated id
                 if b is None:
                     leaders.append(found)
-                    continue
-                for leader in leaders:
-                    at = np.minimum(np.searchsorted(leader, found), len(leader) - 1)
-                    both = int((leader[at] == found).sum())
-                    if 100 * both >= percent * (len(leader) + len(found) - both):
-                        linked_a.append(a)
-                        linked_b.append(b)
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(linked_a, pa.int64()), pa.array(linked_b, pa.int64())], ["u", "v"])
+                else:
+                    ids.append(b)
+                    sets.append(found)
+            if out:
+                yield as_batch(out)
+        if group:
+            out = []
+            finish(group, leaders, ids, sets, out)
+            if out:
+                yield as_batch(out)
 
     return run
 
 
-def verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The links (u, v) among stored ``pairs`` (a, b), confirmed on the full sets."""
-    met = bring_together(pairs, docs.select(F.col("doc_id").cast("long").alias("id"), "text"), MEMBERS_PER_SLICE)
-    return met.mapInArrow(_verified(size, percent), "u long, v long").distinct()
+def links_within(groups: DataFrame, docs: DataFrame, size: int, percent: int) -> list[DataFrame]:
+    """Links (u, v) that connect all linked members of the ``groups`` (k1, k2, b, n).
 
-
-# ---- the operator
+    Leaders rise from round to round, by size and id, so the rounds end; a second is only needed
+    where a leader has more members than a slice holds.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    sizes = groups.select("b", "n").distinct()
+    found = []
+    while True:
+        leaders = groups.groupBy("k1", "k2").agg(F.min(F.struct("n", "b")).alias("leader"), F.count("*").alias("members"))
+        leaders = leaders.where("members > 1").select("k1", "k2", F.col("leader.b").alias("a"))
+        pairs = groups.join(leaders, ["k1", "k2"]).where("a <> b").select("a", "b", F.col("n").alias("weight")).distinct()
+        met = bring_together(stored(pairs), texts, SHINGLES_PER_SLICE)
+        compared = stored(met.mapInArrow(_compared(size, percent), COMPARED))
+        found.append(compared.where("element is null").select("u", "v"))
+        apart = compared.where("element is not null")
+        if apart.isEmpty():
+            return found
+        apart = apart.select(F.col("u").alias("k1"), F.col("element").alias("k2"), F.col("v").alias("b")).distinct()
+        groups = stored(apart.join(sizes, "b"))
 
 
-def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """The pairs whose ends are not yet in one component."""
-    for side in "ab":
-        own = joined.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-        pairs = pairs.join(own, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-    return pairs.where("c_a <> c_b").drop("c_a", "c_b")
+# ---- the operator
 
 
 def _same_ids(members: DataFrame) -> DataFrame:
@@ -251,34 +362,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
     heads = classes.withColumnRenamed("node", "doc_id")
     sketches = stored(linkable.join(heads, ["n_shingles", "h1", "h2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"]))
 
-    banded = sketches.select(F.col("doc_id").alias("b"), F.posexplode("bands").alias("band", "key"))
+    banded = sketches.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("k1", "k2"))
     banded = stored(banded)
-    first = banded.groupBy("band", "key").agg(F.min("b").alias("a"), F.count("*").alias("n")).where("n > 1")
-    shared = stored(banded.join(first.drop("n"), ["band", "key"]))
-    pairs = shared.where("a < b").select("a", "b").distinct()
-    likely = stored(likely_pairs(pairs, sketches, threshold))
-
-    best = likely.groupBy("b").agg(F.max_by("a", F.struct("likely", -F.col("a"))).alias("a")).select("a", "b")
-    best = stored(best)
-    links = stored(verify(best, docs, size, percent))
-    joined = stored(components(links))
-
-    others = stored(_apart(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), joined))
-    links = stored(links.unionByName(verify(others, docs, size, percent)))
-    joined = stored(components(links))
-
-    # bands whose classes are in several components: every pair across components
-    member = shared.join(joined.withColumnRenamed("node", "b"), "b", "left")
-    member = member.select("band", "key", "b", F.coalesce("component", "b").alias("c"))
-    mixed = member.groupBy("band", "key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    member = stored(member.join(mixed.select("band", "key"), ["band", "key"]))
-    left = member.select("band", "key", F.col("b").alias("a"), F.col("c").alias("c_a"))
-    across = left.join(member, ["band", "key"]).where("c_a < c").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = across.distinct().join(likely.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stored(likely_pairs(across, sketches, threshold).select("a", "b"))
-    links = links.unionByName(verify(rest, docs, size, percent))
-    links = links.unionByName(_same_ids(linkable.join(classes, ["n_shingles", "h1", "h2"]).select("doc_id", "node")))
-    joined = stored(components(links))
+    shared = banded.groupBy("k1", "k2").agg(F.count("*").alias("members")).where("members > 1").drop("members")
+    groups = stored(banded.join(shared, ["k1", "k2"]))
+    links = links_within(groups, docs, size, percent)
+    links.append(_same_ids(linkable.join(classes, ["n_shingles", "h1", "h2"]).select("doc_id", "node")))
+    joined = stored(components(reduce(DataFrame.unionByName, links)))
 
     named = classes.join(joined, "node", "left").select(
         F.col("n_shingles"), "h1", "h2", F.coalesce("component", "node").alias("component_id")
