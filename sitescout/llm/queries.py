@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitescout.llm import decontaminate, fingerprints, line_dedup, mixture, near_dedup, token_counts
+from sitescout.llm import decontaminate, fingerprints, line_dedup, mixture, near_dedup, suffix_dedup, token_counts
 from sitescout.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -48,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_hyperminhash": op4_hyperminhash,
     "op5_order_minhash": op5_order_minhash,
+    "op6_bwt_merge": op6_bwt_merge,
     "op7_decontamination": op7_decontamination,
     "op9_source_mix": op9_source_mix,
 }
