@@ -28,7 +28,7 @@ of all. Rows without id get no component and are kept. Other columns are not rea
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -190,15 +190,35 @@ def _is_link(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[bool, np.ndarr
     return 100 * both >= percent * (len(x) + len(y) - both), inside
 
 
-def _may_be_link(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    low, high = sorted((len(x), len(y)))
-    if 100 * low < percent * high:
-        return False
-    if low < ESTIMATED_FROM:
-        return True
-    p = percent / 100
-    likely = estimate(_registers(x)[None], _registers(y)[None], np.array([len(x)]), np.array([len(y)]))[0]
-    return likely >= p - SPREADS * (p * (1 - p) / REGISTERS) ** 0.5
+@lru_cache(maxsize=1 << 14)
+def _chance(eighths_a: int, eighths_b: int) -> float:
+    """``chance`` for sizes given as eighths of their logarithms to base 2."""
+    return float(chance(np.array([2 ** (eighths_a / 8)]), np.array([2 ** (eighths_b / 8)]))[0])
+
+
+class _Sketches:
+    """Registers of a leader's members, made when first asked for."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int) -> None:
+        self.sets, self.percent = sets, percent
+        p = percent / 100
+        self.least = p - SPREADS * (p * (1 - p) / REGISTERS) ** 0.5
+        self.made: dict[int, tuple[np.ndarray, int]] = {}
+
+    def of(self, i: int) -> tuple[np.ndarray, int]:
+        if i not in self.made:
+            self.made[i] = _registers(self.sets[i]), round(8 * np.log2(len(self.sets[i])))
+        return self.made[i]
+
+    def may_be_link(self, i: int, j: int) -> bool:
+        low, high = sorted((len(self.sets[i]), len(self.sets[j])))
+        if 100 * low < self.percent * high:
+            return False
+        if low < ESTIMATED_FROM:
+            return True
+        (x, a), (y, b) = self.of(i), self.of(j)
+        p = _chance(a, b)
+        return (np.count_nonzero(x == y) / REGISTERS - p) / (1 - p) >= self.least
 
 
 def _prefixes(rests: list[np.ndarray], lengths: np.ndarray, rarest_first: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -225,6 +245,7 @@ def compare_members(
     Every two that are linked are connected by the links returned.
     """
     links: list[tuple[int, int]] = []
+    needed = [0]  # shingles beyond the leader's that a link takes
     linked = np.zeros(len(sets) + 1, bool)
     rests, lengths = [leader[:0]], [0]
     for i, x in enumerate(sets, 1):
@@ -232,11 +253,11 @@ def compare_members(
         rests.append(x[~inside])
         if linked[i]:
             links.append((0, i))
-            lengths.append(len(rests[i]))
+            needed.append(1)
         else:
             least = max(len(leader), -(-percent * len(x) // 100))
-            needed = -(-percent * (len(x) + least) // (100 + percent)) - int(inside.sum())
-            lengths.append(max(0, len(rests[i]) - needed + 1))
+            needed.append(-(-percent * (len(x) + least) // (100 + percent)) - int(inside.sum()))
+        lengths.append(max(0, len(rests[i]) - needed[i] + 1))
     nothing = np.empty(0, np.uint64), np.empty(0, np.int64)
     lengths = np.array(lengths)
     outward = _prefixes(rests, lengths, False) if sliced else nothing
@@ -250,6 +271,7 @@ def compare_members(
     element, owner = element[order], owner[order]
     bounds = np.flatnonzero(np.r_[True, element[1:] != element[:-1], True]) if len(element) else []
     tried: set[tuple[int, int]] = set()
+    sketches = _Sketches(sets, percent)
     for start, end in zip(bounds[:-1], bounds[1:]):
         members = owner[start:end].tolist()
         if len({known.root(i) for i in members}) == 1:
@@ -259,8 +281,11 @@ def compare_members(
                 if known.root(i) == known.root(j) or (i, j) in tried:
                     continue
                 tried.add((i, j))
-                x, y = sets[i - 1], sets[j - 1]
-                if _may_be_link(x, y, percent) and _is_link(x, y, percent)[0]:
+                if not sketches.may_be_link(i - 1, j - 1):
+                    continue
+                if np.isin(rests[i], rests[j], kind="sort").sum() < max(needed[i], needed[j]):
+                    continue
+                if _is_link(sets[i - 1], sets[j - 1], percent)[0]:
                     known.join(i, j)
                     links.append((i, j))
     return links, outward
