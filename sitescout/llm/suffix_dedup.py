@@ -264,9 +264,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     wanted = anchors.join(often, "anchor")
     per_doc = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("anchor", "slices", "place", "first", "last")).alias("anchors"))
     per_doc = stored(per_doc.withColumnsRenamed({"doc_id": "_d", "_text_hash": "_h"}))
-    named = broadcast_if_small(stored(per_doc.select(F.col("_d").alias("_i"), F.col("_h").alias("_j"))))
-    near = heads.join(named, heads["doc_id"].eqNullSafe(named["_i"]) & (heads["_text_hash"] == named["_j"]), "left_semi")
-    near = near.join(per_doc, near["doc_id"].eqNullSafe(per_doc["_d"]) & (near["_text_hash"] == per_doc["_h"]))
+    near = heads.join(per_doc, heads["doc_id"].eqNullSafe(per_doc["_d"]) & (heads["_text_hash"] == per_doc["_h"]))
     segments = near.select(*ROW, "text", "anchors").mapInArrow(_segment_batches, SEGMENTS)
     met = segments.repartition("anchor", "slice").sortWithinPartitions("anchor", "slice")
     spans = met.mapInArrow(_merge_batches, SPANS)
@@ -308,7 +306,6 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of each row; ``kept`` is what is left, as bytes."""
     spans = stored(repeated_spans(docs)).withColumnsRenamed({"doc_id": "_d", "_text_hash": "_h"})
-    spans = broadcast_if_small(spans)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("_text_hash", F.xxhash64("text"))
     same = docs["doc_id"].eqNullSafe(spans["_d"]) & (docs["_text_hash"] == spans["_h"])
