@@ -8,8 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitescout.llm import decontaminate, fingerprints, line_dedup, mixture, near_dedup, suffix_dedup, token_counts
-from sitescout.llm.common import table
+from sitescout.llm import (
+    decontaminate,
+    fingerprints,
+    language_id,
+    line_dedup,
+    mixture,
+    near_dedup,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
+from sitescout.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +29,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
@@ -48,14 +65,22 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = language_id.identify(docs.select("doc_id", "text"), language_id.train(docs))
+    return judged.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
     "op4_hyperminhash": op4_hyperminhash,
     "op5_order_minhash": op5_order_minhash,
     "op6_bwt_merge": op6_bwt_merge,
     "op7_decontamination": op7_decontamination,
     "op9_source_mix": op9_source_mix,
+    "op10_language_id": op10_language_id,
 }
 
 LINE_DEDUP_SQL = r"""
