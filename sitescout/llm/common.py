@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,10 +76,10 @@ def broadcast_parts(df: DataFrame, key: str) -> list[DataFrame]:
     return [F.broadcast(df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == i)) for i in range(parts)]
 
 
-def bring_together(pairs: DataFrame, texts: DataFrame, per_slice: int) -> DataFrame:
+def bring_together(pairs: DataFrame, texts: DataFrame, per_slice: int, extras: Sequence[str] = ()) -> DataFrame:
     """(a, slice, slices, b, text) of stored ``pairs`` (a, b, weight) and ``texts`` (id, text).
 
-    Partitions are sorted by (a, slice); first come the texts of a, with b null, then those of
+    ``extras`` are columns of the pairs that go with b. Partitions are sorted by (a, slice); first come the texts of a, with b null, then those of
     each b. So the text of b travels once per pair. The members of a common a are cut into slices
     of about ``per_slice`` in weight, each of which gets the text of a.
     """
@@ -86,10 +87,11 @@ def bring_together(pairs: DataFrame, texts: DataFrame, per_slice: int) -> DataFr
     texts = stored(texts.join(broadcast_if_small(stored(ids)), "id"))
     slices = pairs.groupBy("a").agg(F.ceil(F.sum("weight") / per_slice).cast("int").alias("slices"))
     leaders = texts.withColumnRenamed("id", "a").join(slices, "a").withColumn("b", F.lit(None).cast("long"))
+    leaders = leaders.withColumns({c: F.lit(None).cast(pairs.schema[c].dataType) for c in extras})
     leaders = leaders.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     members = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int"))
     members = members.join(texts.withColumnRenamed("id", "b"), "b")
-    columns = ["a", "slice", "slices", "b", "text"]
+    columns = ["a", "slice", "slices", "b", "text", *extras]
     met = leaders.select(columns).unionByName(members.select(columns)).repartition("a", "slice")
     return met.sortWithinPartitions("a", "slice", F.col("b").asc_nulls_first())
 

@@ -67,18 +67,35 @@ def _chunks(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
         yield chunk
 
 
-def shingle_sets(texts: Iterable[str | None], size: int) -> Iterator[np.ndarray]:
-    """For each text the ascending distinct hashes of its shingles of ``size`` words."""
+def _word_hashes(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Chunks of word hashes, with the bounds of each text among them."""
     for chunk in _chunks(texts):
         data = np.frombuffer(b"\n".join(chunk).lower() + b"\n", np.uint8)
         starts, ends = words_of(data)
-        words = span_hashes(prefix_sums(data), starts, ends)
         lengths = np.fromiter(map(len, chunk), np.int64, len(chunk))
         bounds = np.searchsorted(starts, np.r_[0, np.cumsum(lengths + 1)])
-        rolled = words.copy()
-        for k in range(1, size):
-            rolled[: len(words) - k] = rolled[: len(words) - k] * _STEP + words[k:]
-        rolled = mix(rolled)
+        yield span_hashes(prefix_sums(data), starts, ends), bounds
+
+
+def _rolled(words: np.ndarray, size: int) -> np.ndarray:
+    rolled = words.copy()
+    for k in range(1, size):
+        rolled[: len(words) - k] = rolled[: len(words) - k] * _STEP + words[k:]
+    return mix(rolled)
+
+
+def shingle_sequences(texts: Iterable[str | None], size: int) -> Iterator[np.ndarray]:
+    """For each text the hashes of its shingles of ``size`` words, in text order; none if it is shorter."""
+    for words, bounds in _word_hashes(texts):
+        rolled = _rolled(words, size)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            yield rolled[a : max(a, b - size + 1)]
+
+
+def shingle_sets(texts: Iterable[str | None], size: int) -> Iterator[np.ndarray]:
+    """For each text the ascending distinct hashes of its shingles of ``size`` words."""
+    for words, bounds in _word_hashes(texts):
+        rolled = _rolled(words, size)
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             if b - a >= size:
                 found = np.sort(rolled[a : b - size + 1])

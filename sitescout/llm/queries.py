@@ -15,6 +15,7 @@ from sitescout.llm import (
     line_dedup,
     mixture,
     near_dedup,
+    passages,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -60,6 +61,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    ranges = F.transform("passages", lambda p: F.concat_ws("-", p["start"].cast("string"), p["stop"].cast("string")))
+    return found.select("doc_id", "n_passages", "n_repeated_words", F.array_join(ranges, ",").alias("passages"), "other_id")
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixture.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -79,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op5_order_minhash": op5_order_minhash,
     "op6_bwt_merge": op6_bwt_merge,
     "op7_decontamination": op7_decontamination,
+    "op8_compact_windows": op8_compact_windows,
     "op9_source_mix": op9_source_mix,
     "op10_language_id": op10_language_id,
 }
