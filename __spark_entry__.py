@@ -33,7 +33,10 @@ def _competitors(spark: SparkSession, sf: str) -> DataFrame:
 
 def _selected(spark: SparkSession, sf: str) -> DataFrame:
     """The ids of the competitors, found once, and broadcast if they are few."""
-    return joins.size_checked(joins.cut_lineage(_competitors(spark, sf).select("business_id")))
+    found = competitors.find_competitors(
+        fx.business(spark, sf), fx.business_categories(spark, sf), fx.WANTED, **fx.SITE
+    )
+    return joins.size_checked(joins.cut_lineage(found.select("business_id")))
 
 
 def _bag_text(words: str) -> Column:
@@ -131,6 +134,12 @@ def pairwise_jaccard(spark, sf):
     return similarity.pairwise_jaccard(fx.business_categories(spark, sf), fx.MIN_SIMILARITY)
 
 
+def similar_businesses(spark, sf):
+    pairs = fx.business_categories(spark, sf)
+    chosen = fx.business(spark, sf).where(F.col("business_id") < fx.CHOSEN)
+    return similarity.similar_businesses(pairs, chosen, fx.MIN_SIMILARITY / 2)
+
+
 # ---- competitors
 
 
@@ -201,7 +210,7 @@ def _word_counts(polarity: int) -> Query:
 
 def site_report(spark, sf):
     lines = report.report_lines(report.site_report(fx.site_tables(spark, sf), fx.WANTED, **fx.SITE))
-    is_distance = F.col("section") == "competitor"
+    is_distance = F.col("section").isin("competitor", "map")
     return lines.withColumn("value", F.when(is_distance, F.round("value", 4)).otherwise(F.col("value")))
 
 
@@ -256,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "category_cardinality": category_cardinality,
     "category_profiles": category_profiles,
     "pairwise_jaccard": pairwise_jaccard,
+    "similar_businesses": similar_businesses,
     "checkin_hourly": fx.checkin_hourly,
     "checkin_flatten_nested": checkin_flatten_nested,
     "checkin_daily": fx.checkin_daily,

@@ -1,8 +1,9 @@
 """The application's tables, derived from the driver's Parquet tables.
 
-Suppliers stand for businesses, lineitem and part for their categories, events for check-ins,
-documents for tips (the number in ``source`` is the business), the words of the benchmark texts
-for the lexicon, and customers for users and for candidate sites.
+Orders stand for businesses, the parts of their lines for their categories (the part's name, and
+the name with its brand), events for check-ins, documents for tips, the words of the benchmark
+texts for the lexicon, and customers for users and for candidate sites. Every row is read. The
+tips of the commonest source are all of one business, those of the others of many.
 """
 
 from __future__ import annotations
@@ -14,12 +15,11 @@ from pyspark.sql import functions as F
 
 from sitescout.functions.calendar import hour_label, weekday_name
 from sitescout.functions.text import words
-from sitescout.joins import spread_over_cores
 from sitescout.operators import checkins, sentiment
 from sitescout.plans.report import SiteTables
 
-SITE = {"lat": 43.8, "lon": -79.25, "km": 20.0}
-WANTED = ["red widget", "blue bolt", "old gear", "small ring"]
+SITE = {"lat": 44.8, "lon": -78.0, "km": 150.0}
+WANTED = ["red widget", "blue bolt"]
 SEGMENT_WANTED = {
     "AUTOMOBILE": ["new gear", "hot rod", "cold plate"],
     "BUILDING": ["large plate", "old bolt", "small anvil", "new rod"],
@@ -28,7 +28,8 @@ SEGMENT_WANTED = {
     "MACHINERY": ["hot gear", "cold bolt", "large rod", "red anvil", "new widget"],
 }
 NAME_GENDER = [("AUTOMOBILE", "f"), ("BUILDING", "m"), ("HOUSEHOLD", "f"), ("HOUSEHOLD", "m")]
-MIN_SIMILARITY = 0.25
+MIN_SIMILARITY = 0.6
+CHOSEN = 25  # businesses with lower ids are compared with all
 
 
 # Stated rather than read from the files, which would take a job per table.
@@ -54,32 +55,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
+    key = F.col("o_orderkey")
     return (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             key.alias("business_id"),
-            F.col("s_name").alias("name"),
+            F.concat(F.lit("Order#"), key.cast("string")).alias("name"),
             F.col("n_name").alias("city"),
             F.col("r_name").alias("state"),
-            (F.lit(43.60) + ((key * 37) % 100) * F.lit(0.004)).alias("latitude"),
-            (F.lit(-79.50) + ((key * 53) % 100) * F.lit(0.005)).alias("longitude"),
+            (F.lit(43.60) + ((key * 37) % 1000) * F.lit(0.004)).alias("latitude"),
+            (F.lit(-79.50) + ((key * 53) % 1000) * F.lit(0.005)).alias("longitude"),
             (F.lit(1.0) + F.lit(0.5) * (key % 9)).alias("stars"),
             ((key * 7) % 300).cast("int").alias("review_count"),
-            (F.col("s_acctbal") >= 0).cast("int").alias("is_open"),
+            (F.col("o_orderstatus") != "F").cast("int").alias("is_open"),
         )
     )
 
 
 def business_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sold = table(spark, sf_dir, "lineitem").where(
-        (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45)
-    )
+    names = F.array("p_name", F.concat_ws(" ", "p_name", "p_brand"))
     return (
-        sold.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(F.col("l_suppkey").alias("business_id"), F.col("p_name").alias("category"))
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .select(F.col("l_orderkey").alias("business_id"), F.explode(names).alias("category"))
         .distinct()
     )
 
@@ -88,7 +89,7 @@ def checkin_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
         .groupBy(
-            F.col("user_id").alias("business_id"),
+            (F.col("user_id") + 15 * (F.col("event_id") % 100)).alias("business_id"),
             weekday_name(F.col("ts")).alias("day_of_week"),
             hour_label(F.col("ts")).alias("day_hour"),
         )
@@ -101,10 +102,9 @@ def checkin_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(
-        F.substring("source", 4, 10).cast("long").alias("business_id"), "text"
-    )
-    return spread_over_cores(documents)
+    number = F.expr("substring(source, 4)").cast("long")
+    spread = F.when(number == 0, number).otherwise(number + 20 * (F.col("doc_id") % 75))
+    return table(spark, sf_dir, "documents").select(spread.alias("business_id"), "text")
 
 
 def tip_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,9 +154,9 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).otherwise(wanted)
     return table(spark, sf_dir, "customer").select(
         key.alias("site_id"),
-        (F.lit(43.6015) + ((key * 29) % 400) * F.lit(0.001)).alias("lat"),
-        (F.lit(-79.4985) + ((key * 41) % 500) * F.lit(0.001)).alias("lon"),
-        (F.lit(3.0) + F.col("c_nationkey") * F.lit(0.25)).alias("km"),
+        (F.lit(43.6015) + ((key * 29) % 1000) * F.lit(0.004)).alias("lat"),
+        (F.lit(-79.4985) + ((key * 41) % 1000) * F.lit(0.005)).alias("lon"),
+        (F.lit(5.0) + F.col("c_nationkey")).alias("km"),
         wanted.alias("wanted"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from fixtures import MIN_SIMILARITY, NAME_GENDER, SEGMENT_WANTED, SITE, WANTED
+from fixtures import CHOSEN, MIN_SIMILARITY, NAME_GENDER, SEGMENT_WANTED, SITE, WANTED
 from sitescout.functions.text import ENGLISH_STOP_WORDS
 
 
@@ -44,19 +44,19 @@ _BAG = "string_agg(word || ':' || n, ' ' order by word)"
 
 CTES = {
     "business": """
-select s_suppkey as business_id, s_name as name, n_name as city, r_name as state,
-       43.60::double + ((s_suppkey * 37) % 100) * 0.004::double as latitude,
-       -79.50::double + ((s_suppkey * 53) % 100) * 0.005::double as longitude,
-       1.0::double + 0.5::double * (s_suppkey % 9) as stars,
-       cast((s_suppkey * 7) % 300 as int) as review_count,
-       cast(case when s_acctbal >= 0 then 1 else 0 end as int) as is_open
-from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+select o_orderkey as business_id, concat('Order#', o_orderkey) as name, n_name as city, r_name as state,
+       43.60::double + ((o_orderkey * 37) % 1000) * 0.004::double as latitude,
+       -79.50::double + ((o_orderkey * 53) % 1000) * 0.005::double as longitude,
+       1.0::double + 0.5::double * (o_orderkey % 9) as stars,
+       cast((o_orderkey * 7) % 300 as int) as review_count,
+       cast(case when o_orderstatus <> 'F' then 1 else 0 end as int) as is_open
+from orders join customer on o_custkey = c_custkey
+join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
     "business_categories": """
-select distinct l_suppkey as business_id, p_name as category
-from lineitem join part on l_partkey = p_partkey
-where l_returnflag = 'R' and l_quantity >= 45""",
+select distinct l_orderkey as business_id, unnest([p_name, p_name || ' ' || p_brand]) as category
+from lineitem join part on l_partkey = p_partkey""",
     "checkin_hourly": """
-select user_id as business_id, dayname(ts) as day_of_week, concat(hour(ts), ':00') as day_hour,
+select user_id + 15 * (event_id % 100) as business_id, dayname(ts) as day_of_week, concat(hour(ts), ':00') as day_hour,
        count(*) as check_in
 from events group by 1, 2, 3""",
     "checkin_daily": """
@@ -64,7 +64,8 @@ select business_id, day_of_week, cast(sum(check_in) as bigint) as check_in
 from checkin_hourly group by 1, 2""",
     "tip_tokens": f"""
 select business_id, word
-from (select cast(substr(source, 4) as bigint) as business_id, {_words('text')} as word from documents) as t
+from (select case when substr(source, 4) = '0' then 0 else cast(substr(source, 4) as bigint) + 20 * (doc_id % 75) end
+      as business_id, {_words('text')} as word from documents) as t
 where word <> '' and lower(word) not in ({_texts(ENGLISH_STOP_WORDS)})""",
     "lexicon": f"""
 select distinct word, case when length(word) <= 4 then 1 when length(word) <= 6 then -1 else 0 end as sentiment
@@ -105,9 +106,9 @@ select sentiment, word as text, cast(sum(n) as bigint) as size
 from sentiment_words where business_id in (select business_id from competitors) group by 1, 2""",
     "sites": f"""
 select c_custkey as site_id,
-       43.6015::double + ((c_custkey * 29) % 400) * 0.001::double as lat,
-       -79.4985::double + ((c_custkey * 41) % 500) * 0.001::double as lon,
-       3.0::double + c_nationkey * 0.25::double as km,
+       43.6015::double + ((c_custkey * 29) % 1000) * 0.004::double as lat,
+       -79.4985::double + ((c_custkey * 41) % 1000) * 0.005::double as lon,
+       5.0::double + c_nationkey as km,
        case c_mktsegment {_SEGMENT_LISTS} end as wanted
 from customer""",
     "site_wants": "select site_id, unnest(wanted) as category, len(wanted) as wants from sites",
@@ -203,6 +204,15 @@ select count(distinct business_id) as businesses, count(distinct category) as ca
 select distinct concat(upper(substring(city, 1, 1)), lower(substring(city, 2))) as city, state from business""",
     "category_profiles": "select business_id, profile_id from category_profiles",
     "pairwise_jaccard": "select * from pairwise_jaccard",
+    "similar_businesses": f"""
+with sizes as (select business_id, count(*) as n from business_categories group by 1),
+     met as (select a.business_id as business_id1, b.business_id as business_id2, count(*) as k
+             from business_categories as a join business_categories as b
+             on a.category = b.category and a.business_id <> b.business_id
+             where a.business_id < {CHOSEN} group by 1, 2)
+select * from (select business_id1, business_id2, k / cast(x.n + y.n - k as double) as similarity
+  from met join sizes as x on x.business_id = business_id1 join sizes as y on y.business_id = business_id2) as t
+where similarity >= {MIN_SIMILARITY / 2}""",
     "checkin_hourly": "select * from checkin_hourly",
     "checkin_flatten_nested": "select * from checkin_hourly",
     "checkin_daily": "select * from checkin_daily",
@@ -236,13 +246,24 @@ with dim as (select * from (values {', '.join(f'({_texts(row)})' for row in NAME
      one as (select name, min(gender) as gender from dim group by name having count(distinct gender) = 1)
 select c.c_custkey as user_id, c.c_mktsegment as name, one.gender
 from customer as c left join one on one.name = c.c_mktsegment""",
-    "site_report": """
-select 'weekday' as section, day as label, cast(day_no as int) as position, check_ins as value from weekday_profile
-union all select 'hour', hour, hour_no, check_ins from hour_profile
-union all select 'competitor', cast(business_id as varchar), null, round(distance, 4) from competitors
-union all select 'top', cast(business_id as varchar), null, stars from top_competitors
-union all select case sentiment when 1 then 'positive' else 'negative' end, text, null, cast(size as double)
-  from word_counts""",
+    "site_report": f"""
+with sections as (
+  select 'weekday' as section, day as label, cast(day_no as int) as position, check_ins as value,
+         null as name, null as distance, null as stars, null as review_count, null as latitude, null as longitude
+  from weekday_profile
+  union all select 'hour', hour, hour_no, check_ins, null, null, null, null, null, null from hour_profile
+  union all select 'competitor', cast(business_id as varchar), null, round(distance, 4),
+                   name, round(distance, 2), stars, review_count, null, null from competitors
+  union all select 'top', cast(business_id as varchar), null, stars,
+                   name, round(distance, 2), stars, review_count, null, null from top_competitors
+  union all select case sentiment when 1 then 'positive' else 'negative' end, text, null, cast(size as double),
+                   null, null, null, null, null, null from word_counts
+  union all select 'map', 'competitor', null, round(distance, 4),
+                   name, round(distance, 2), stars, review_count, latitude, longitude from competitors
+  union all select 'map', 'site', null, 0.0, 'Your Location', 0.0, null, null, {SITE['lat']}, {SITE['lon']})
+select section, label, position, cast(value as double) as value, cast(name as varchar) as name,
+       cast(distance as double) as distance, cast(stars as double) as stars, cast(review_count as int) as review_count,
+       cast(latitude as double) as latitude, cast(longitude as double) as longitude from sections""",
     "batch_competitors": "select site_id, business_id, name, stars, round(distance, 3) as distance, score from batch_competitors",
     "batch_top_competitors": "select * from batch_ranked where rank <= 5",
     "batch_weekday_profile": f"""

@@ -1,8 +1,8 @@
 """Command line, for spark-submit or ``python -m sitescout``.
 
     build  --source DIR --out DIR [--previous DIR] [--jobs a,b] [--min-similarity T] [--word-lists] [--name-gender]
-    report --tables DIR --lat LAT --lon LON --categories A,B [--km KM] [--out DIR]
-    search --tables DIR --text TEXT
+    report --tables DIR --lat LAT --lon LON --categories A,B [--km KM] --out DIR
+    search --tables DIR --text TEXT [--min-chars N] [--limit N]
 """
 
 from __future__ import annotations
@@ -38,11 +38,13 @@ def parser() -> argparse.ArgumentParser:
     site.add_argument("--lon", required=True)
     site.add_argument("--categories", required=True, help="separated by commas")
     site.add_argument("--km", default=SETTINGS.default_radius_km)
-    site.add_argument("--out", help="directory for the whole report as Parquet; else its first lines are printed")
+    site.add_argument("--out", required=True, help="directory for the report, as Parquet")
 
     search = commands.add_parser("search", help="suggest categories")
     search.add_argument("--tables", required=True)
     search.add_argument("--text", required=True)
+    search.add_argument("--min-chars", type=int, default=SETTINGS.suggestion_min_chars)
+    search.add_argument("--limit", type=int, default=SETTINGS.suggestion_limit)
     return main
 
 
@@ -55,10 +57,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         etl.run_jobs(job, args.jobs.split(","))
         return
     if args.command == "search":
-        if len(args.text) < SETTINGS.suggestion_min_chars:
-            raise SystemExit(f"give at least {SETTINGS.suggestion_min_chars} characters")
+        if len(args.text) < args.min_chars:
+            raise SystemExit(f"give at least {args.min_chars} characters")
         known = read_table(spark, args.tables, TABLES.categories)
-        category_search(known, args.text, SETTINGS.suggestion_limit).show(truncate=False)
+        category_search(known, args.text, args.limit).show(args.limit, truncate=False)
         return
     stored = report.SiteTables(
         directory=read_table(spark, args.tables, TABLES.directory),
@@ -69,10 +71,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     found = report.site_report(stored, args.categories, args.lat, args.lon, args.km)
     lines = report.report_lines(found)
-    if args.out:
-        lines.write.mode("errorifexists").parquet(args.out)
-    else:
-        lines.show(SETTINGS.printed_lines, truncate=False)
+    lines.write.mode("errorifexists").parquet(args.out)
 
 
 def main() -> None:

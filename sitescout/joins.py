@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import Column, DataFrame
@@ -12,17 +13,28 @@ from sitescout.settings import SETTINGS
 SLICES = ["left_slice", "right_slice"]
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = SETTINGS.broadcast_rows) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counting stops one past the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def value_bytes(df: DataFrame) -> int:
+    """About the bytes that the values of ``df`` take in memory. Each task sends one number."""
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for column, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind.startswith(("array", "map")):
+            width = width + F.coalesce(F.greatest(F.size(column), F.lit(0)) * 32, F.lit(0))
+    return df.agg(F.sum(width)).first()[0] or 0
 
 
-def size_checked(df: DataFrame, max_rows: int = SETTINGS.broadcast_rows) -> DataFrame:
+def fits_broadcast(df: DataFrame, max_bytes: int = SETTINGS.broadcast_bytes) -> bool:
+    """Whether the values of ``df`` take at most ``max_bytes``."""
+    return value_bytes(df) <= max_bytes
+
+
+def size_checked(df: DataFrame, max_bytes: int = SETTINGS.broadcast_bytes) -> DataFrame:
     """``df`` marked for broadcast if it is small enough, else unmarked, to be joined by shuffle.
 
-    Meant for stored tables and checkpointed frames, which are cheap to count.
+    Meant for stored tables and checkpointed frames, which are cheap to measure.
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -47,21 +59,14 @@ def keep_selected(facts: DataFrame, ids: DataFrame, key: str = "business_id") ->
     return facts.join(ids.select(key), key, "left_semi")
 
 
-def spread_over_cores(df: DataFrame) -> DataFrame:
-    """A freshly read small table dealt out to all cores, for per-row work that is heavy.
-
-    Only a table with fewer splits than cores is moved; a large one is left as it is read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def hot_keys(left_keys: DataFrame, right_keys: DataFrame | None, key: str, per_slice: int) -> DataFrame:
     """(key, left_slices, right_slices) of the keys with over ``per_slice`` rows on a side.
 
-    Without ``right_keys`` the right side has few rows for any key and is not counted. The rows
-    are at most one per ``per_slice`` input rows, which makes the result safe to broadcast.
+    Without ``right_keys`` the right side has few rows for any key and is not counted. With them
+    a slice also keeps below ``pairs_per_slice`` pairs of rows, as such a join makes pairs.
     """
+    if right_keys is not None:
+        per_slice = min(per_slice, math.isqrt(SETTINGS.pairs_per_slice))
     if right_keys is None:
         counted = left_keys.groupBy(key).agg(F.count("*").alias("l")).withColumn("r", F.lit(1))
     else:
@@ -89,7 +94,7 @@ def slice_hot_keys(
     whole. The hash depends on the row only, so a task that is run again sends its rows to the
     same places.
     """
-    hot = F.broadcast(hot)
+    hot = size_checked(cut_lineage(hot))
 
     def cut(df: DataFrame, row_id: Column, own: str, other: str) -> DataFrame:
         own_slices = F.coalesce(f"{own}_slices", F.lit(1))
@@ -142,14 +147,14 @@ def lookup_join(
     key: str,
     fact_id: Column,
     how: str = "left",
-    max_rows: int = SETTINGS.broadcast_rows,
+    max_bytes: int = SETTINGS.broadcast_bytes,
     per_slice: int = SETTINGS.rows_per_slice,
 ) -> DataFrame:
     """Join ``facts`` with a ``dimension`` that has one row per key (``how``: left or inner).
 
-    A dimension of up to ``max_rows`` rows is broadcast, so the facts are not shuffled and hot
+    A dimension of up to ``max_bytes`` is broadcast, so the facts are not shuffled and hot
     keys do no harm. A larger one is joined by shuffle with the hot keys cut into slices.
     """
-    if fits_broadcast(dimension, max_rows):
+    if fits_broadcast(dimension, max_bytes):
         return facts.join(F.broadcast(dimension), key, how)
     return join_hot(facts, dimension, key, fact_id, how=how, per_slice=per_slice)

@@ -11,6 +11,7 @@ from sitescout.functions.geo import distance_km, inside_box
 from sitescout.operators.categories import matching_businesses
 from sitescout.settings import SETTINGS
 
+# The columns of the results.
 NEARBY_COLUMNS = ("latitude", "longitude", "city", "business_id", "name", "stars", "review_count")
 MAP_COLUMNS = ("name", "review_count", "stars", "distance", "latitude", "longitude")
 
@@ -30,7 +31,7 @@ def radius_search(business: DataFrame, lat: float, lon: float, km: float) -> Dat
     return _nearby(business, lat, lon, km).orderBy("distance", "business_id")
 
 
-def competitors(
+def find_competitors(
     business: DataFrame,
     pairs: DataFrame,
     wanted: str | Iterable[str],
@@ -39,19 +40,29 @@ def competitors(
     km: float = SETTINGS.default_radius_km,
     threshold: float = SETTINGS.containment_threshold,
 ) -> DataFrame:
-    """Businesses near a site having at least ``threshold`` of the wanted categories.
-
-    The nearby businesses with their ``score``, weakest match first.
-    """
+    """Businesses near a site having at least ``threshold`` of the wanted categories, with ``score``."""
     matches = matching_businesses(pairs, wanted, threshold)
     return (
         _nearby(business, lat, lon, km)
         .join(matches, "business_id")
         .select(*NEARBY_COLUMNS, "distance", "score")
-        .orderBy("score", "distance", "business_id")
     )
 
 
+def competitors(
+    business: DataFrame,
+    pairs: DataFrame,
+    wanted: str | Iterable[str],
+    lat: float,
+    lon: float,
+    km: float = SETTINGS.default_radius_km,
+    threshold: float = SETTINGS.containment_threshold,
+) -> DataFrame:
+    """The competitors of a site, weakest match first."""
+    found = find_competitors(business, pairs, wanted, lat, lon, km, threshold)
+    return found.orderBy("score", "distance", "business_id")
+
+
 def top_competitors(found: DataFrame, k: int = SETTINGS.top_competitors) -> DataFrame:
     """The ``k`` best rated; among equals the nearer, then the lower id."""
     return (

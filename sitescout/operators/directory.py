@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sitescout.functions.text import title
 from sitescout.joins import lookup_join
 
+# The columns of the directory.
 DIRECTORY_COLUMNS = (
     "business_id", "city", "state", "latitude", "longitude", "stars",
     "review_count", "name", "neighborhood", "postal_code", "address", "is_open",
@@ -31,16 +32,17 @@ def user_directory(raw: DataFrame) -> DataFrame:
 
 
 def enrich_users(users: DataFrame, name_gender: DataFrame) -> DataFrame:
-    """Fill in ``gender`` by name; NULL where the name is unknown or has two genders."""
+    """Fill in ``gender`` by name where it is not known yet; NULL if the name is unknown or has two."""
     known = (
         name_gender.groupBy("name")
-        .agg(F.min("gender").alias("gender"), F.max("gender").alias("_other"))
-        .where(F.col("gender") == F.col("_other"))
+        .agg(F.min("gender").alias("_found"), F.max("gender").alias("_other"))
+        .where(F.col("_found") == F.col("_other"))
         .drop("_other")
     )
-    columns = users.columns if "gender" in users.columns else [*users.columns, "gender"]
-    joined = lookup_join(users.drop("gender"), known, "name", F.col("user_id"))
-    return joined.select(*columns)
+    if "gender" not in users.columns:
+        users = users.withColumn("gender", F.lit(None).cast("string"))
+    joined = lookup_join(users, known, "name", F.col("user_id"))
+    return joined.withColumn("gender", F.coalesce("gender", "_found")).select(*users.columns)
 
 
 def city_directory(business: DataFrame) -> DataFrame:

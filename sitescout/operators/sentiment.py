@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitescout.functions.text import ENGLISH_STOP_WORDS, is_word, words
-from sitescout.joins import fits_broadcast, keep_selected, lookup_join
+from sitescout.joins import cut_lineage, fits_broadcast, join_hot, keep_selected, lookup_join
 from sitescout.settings import SETTINGS
 
 POSITIVE, NEGATIVE = 1, -1
@@ -37,11 +37,12 @@ def tip_bag(business: DataFrame, tokens: DataFrame) -> DataFrame:
     A business without tips has one row, with no word and n = 0. Words of businesses that are
     not in the directory are left out.
     """
-    counted = tokens.groupBy("business_id", "word").agg(F.count("*").alias("n"))
+    counted = cut_lineage(tokens.groupBy("business_id", "word").agg(F.count("*").alias("n")))
     known = business.select("business_id").distinct()
-    return known.join(counted, "business_id", "left").select(
-        "business_id", "word", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    bags = counted.join(known, "business_id", "left_semi")
+    without = known.join(counted.select("business_id").distinct(), "business_id", "left_anti")
+    nothing = without.select("business_id", F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("n"))
+    return bags.unionByName(nothing)
 
 
 def split_lexicon(lexicon: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,15 +58,24 @@ def union_lexicon(positive: DataFrame, negative: DataFrame) -> DataFrame:
     return positive.unionByName(negative)
 
 
-def lexicon_join(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
+def lexicon_join(
+    tokens: DataFrame, lexicon: DataFrame, max_lexicon_bytes: int = SETTINGS.broadcast_bytes
+) -> DataFrame:
     """The tokens found in the lexicon with their sentiment, matched by exact case.
 
     A word in both lexicons matches twice. The lexicon goes through the join as one row per
-    word with its list of sentiments, so tokens need no shuffle while it fits a broadcast.
+    word with its list of sentiments, so tokens need no shuffle while it fits a broadcast. Beyond
+    that equal tokens are counted, looked up once, and repeated after it.
     """
     by_word = lexicon.groupBy("word").agg(F.collect_list(F.struct("sentiment")).alias("_matches"))
-    joined = lookup_join(tokens, by_word, "word", F.struct(*tokens.columns), how="inner")
-    return joined.select(*tokens.columns, F.inline("_matches"))
+    columns = tokens.columns
+    if fits_broadcast(by_word, max_lexicon_bytes):
+        joined = tokens.join(F.broadcast(by_word), "word")
+    else:
+        counted = tokens.groupBy(*columns).agg(F.count("*").alias("_n"))
+        joined = join_hot(counted, by_word, "word", F.struct(*columns), how="inner")
+        joined = joined.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    return joined.select(*columns, F.inline("_matches"))
 
 
 def _signs(lexicon: DataFrame) -> DataFrame:
@@ -81,13 +91,13 @@ def _signs(lexicon: DataFrame) -> DataFrame:
 
 
 def _scored_words(
-    tokens: DataFrame, lexicon: DataFrame, max_lexicon_rows: int, per_slice: int
+    tokens: DataFrame, lexicon: DataFrame, max_lexicon_bytes: int, per_slice: int
 ) -> DataFrame:
     """(business_id, word, pos, neg, n) per lexicon word of a business, and one row with no word
     for all its other tokens."""
     signs = _signs(lexicon)
     tokens = tokens.select("business_id", "word")
-    if fits_broadcast(signs, max_lexicon_rows):
+    if fits_broadcast(signs, max_lexicon_bytes):
         # Looked up before counting: only lexicon words are counted one by one and shuffled.
         found = tokens.join(F.broadcast(signs), "word", "left")
         weight = F.count("*")
@@ -95,7 +105,7 @@ def _scored_words(
         # Counted first, so that a word on every page is shuffled once per business only.
         counted = tokens.groupBy("business_id", "word").agg(F.count("*").alias("n"))
         found = lookup_join(
-            counted, signs, "word", F.col("business_id"), max_rows=0, per_slice=per_slice
+            counted, signs, "word", F.col("business_id"), max_bytes=0, per_slice=per_slice
         )
         weight = F.sum("n")
     found = found.withColumn("word", F.when(F.col("pos").isNotNull(), F.col("word")))
@@ -106,7 +116,7 @@ def business_sentiment(
     business: DataFrame,
     tokens: DataFrame,
     lexicon: DataFrame,
-    max_lexicon_rows: int = SETTINGS.broadcast_rows,
+    max_lexicon_bytes: int = SETTINGS.broadcast_bytes,
     per_slice: int = SETTINGS.rows_per_slice,
 ) -> DataFrame:
     """One row per business of the directory with the sentiment of its tips.
@@ -117,7 +127,7 @@ def business_sentiment(
     Score, prediction and words are NULL where nothing matched. A token is read once, and met
     with the lexicon once.
     """
-    scored = _scored_words(tokens, lexicon, max_lexicon_rows, per_slice)
+    scored = _scored_words(tokens, lexicon, max_lexicon_bytes, per_slice)
     pos, neg, n = F.col("pos"), F.col("neg"), F.col("n")
 
     def found(sign: Column) -> Column:

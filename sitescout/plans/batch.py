@@ -32,36 +32,43 @@ def batch_competitors(
 ) -> DataFrame:
     """The competitors of every site: (site_id, business columns, distance, score).
 
-    Sites are sent to the grid cells their circle can touch and met there with the businesses
-    of the cell, which are never repeated; crowded cells are joined in slices. Distance and
-    category match are tested inside the join, so only competitors come out of it. Cells should
-    be about as wide as the usual radius: larger ones test more pairs, smaller ones repeat the
-    sites more.
+    Sites are sent to the grid cells their circle can touch and met there with the businesses of
+    the cell. With a positive threshold t a competitor has one of any n - ceil(t n) + 1 of the n
+    wanted categories, so they meet by cell and one of the rarest of them, and each pair counts
+    where it first meets. Crowded meeting places are joined in slices. Distance and match are
+    tested inside the join, so only competitors come out of it. Cells should be about as wide as
+    the usual radius: larger ones test more pairs, smaller ones repeat the sites more.
     """
     lat, lon, km = F.col("lat"), F.col("lon"), F.col("km")
     site_parts, business_parts = ("_sin1", "_cos1", "_lon1"), ("_sin2", "_cos2", "_lon2")
-    asked = sites.select(
+    asked = _by_rarest(checked_sites(sites), pairs, threshold).select(
         "site_id",
         km,
         *[c.alias(name) for c, name in zip(trig_parts(lat, lon), site_parts)],
         (lat - lat_reach(km)).alias("south"),
         (lat + lat_reach(km)).alias("north"),
-        F.array_distinct("wanted").alias("wanted"),
+        "wanted",
+        "sought",
         F.explode(covering_cells(lat, lon, km, cell_degrees)).alias("cell"),
     )
+    asked = asked.select("*", F.explode("sought").alias("category"))
     place = F.col("latitude"), F.col("longitude")
     in_cell = business.select(
         "*",
         grid_cell(*place, cell_degrees).alias("cell"),
         *[c.alias(name) for c, name in zip(trig_parts(*place), business_parts)],
-    )
+    ).join(category_sets(pairs), "business_id")
+    offered = F.col("categories") if threshold > 0 else F.array(F.lit(""))
+    in_cell = in_cell.select("*", F.explode(offered).alias("_category"))
+    asked = asked.withColumn("_place", F.struct("cell", "category"))
+    in_cell = in_cell.withColumn("_place", F.struct("cell", F.col("_category").alias("category"))).drop("cell")
     left, right = slice_hot_keys(
-        asked,
-        in_cell.join(category_sets(pairs), "business_id"),
-        "cell",
+        asked.drop("cell"),
+        in_cell.drop("_category"),
+        "_place",
         F.col("site_id"),
         F.col("business_id"),
-        hot_keys(asked.select("cell"), in_cell.select("cell"), "cell", per_slice),
+        hot_keys(asked.select("_place"), in_cell.select("_place"), "_place", per_slice),
     )
     distance = distance_from_parts(tuple(map(F.col, site_parts)), tuple(map(F.col, business_parts)))
     score = F.try_divide(F.size(F.array_intersect("wanted", "categories")), F.size("wanted"))
@@ -70,11 +77,46 @@ def batch_competitors(
         & (distance < km)
         & (score >= threshold)
     )
-    return join_in_slices(left, right, "cell").where(condition).select(
+    if threshold > 0:
+        condition &= F.get(F.array_intersect("sought", "categories"), F.lit(0)) == F.col("category")
+    return join_in_slices(left, right, "_place").where(condition).select(
         "site_id", *business.columns, distance.alias("distance"), score.alias("score")
     )
 
 
+def checked_sites(sites: DataFrame) -> DataFrame:
+    """The sites with wanted categories trimmed, without blanks and repeats.
+
+    A site that is no place on Earth, has no proper radius or wants nothing is an error, as it
+    is in the report on one site.
+    """
+    trimmed = F.transform("wanted", lambda w: F.regexp_replace(w, r"(?U)^\s+|\s+$", ""))
+    wanted = F.array_distinct(F.filter(trimmed, lambda w: w.isNotNull() & (w != "")))
+    is_right = (
+        F.col("lat").between(-90, 90)
+        & F.col("lon").between(-180, 180)
+        & (F.col("km") > 0)
+        & (F.col("km") < float("inf"))
+        & (F.size(wanted) > 0)
+    )
+    problem = F.raise_error(F.concat(F.lit("not a proper request: site "), F.coalesce(F.col("site_id").cast("string"), F.lit("NULL"))))
+    return sites.select("site_id", F.when(is_right, F.col("lat")).otherwise(problem).alias("lat"), "lon", "km", wanted.alias("wanted"))
+
+
+def _by_rarest(sites: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The sites with the categories ``sought``, of which every competitor has one; or [''] for all."""
+    if threshold <= 0:
+        return sites.withColumn("sought", F.array(F.lit("")))
+    offered = pairs.groupBy("category").agg(F.count("*").alias("offers"))
+    wants = sites.select("site_id", F.explode("wanted").alias("category")).join(offered, "category", "left")
+    by_offers = F.array_sort(F.collect_set(F.struct(F.coalesce("offers", F.lit(0)).alias("offers"), "category")))
+    ranked = wants.groupBy("site_id").agg(by_offers.alias("ranked"))
+    n = F.size("ranked")
+    length = n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1
+    sought = ranked.select("site_id", F.slice("ranked", F.lit(1), F.greatest(length, F.lit(0)))["category"].alias("sought"))
+    return sites.join(sought, "site_id")
+
+
 def batch_top_competitors(found: DataFrame, k: int = SETTINGS.top_competitors) -> DataFrame:
     """The ``k`` best rated of each site with their rank; each task first keeps its own best."""
     best = W.partitionBy("site_id").orderBy(F.desc("stars"), "distance", "business_id")
@@ -86,11 +128,13 @@ def batch_top_competitors(found: DataFrame, k: int = SETTINGS.top_competitors) -
 
 
 def _with_sites(found: DataFrame, facts: DataFrame) -> DataFrame:
-    """Facts about a business, a few per business, for each site it competes with. A business
-    in the middle of a great many sites is joined in slices."""
-    return join_hot(
-        found.select("site_id", "business_id"), facts, "business_id", F.col("site_id")
-    )
+    """Facts about a business for each site it competes with, once for each site.
+
+    A business in the middle of a great many sites, or with a great many facts, is joined in slices.
+    """
+    met = found.select("site_id", "business_id").distinct()
+    fact_id = F.struct(*[c for c in facts.columns if c != "business_id"])
+    return join_hot(met, facts, "business_id", F.col("site_id"), fact_id)
 
 
 def batch_weekday_profile(daily: DataFrame, found: DataFrame) -> DataFrame:

@@ -10,8 +10,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sitescout.operators import categories, checkins, directory, sentiment, similarity
 from sitescout.schemas import KEYS
@@ -40,16 +43,20 @@ class Run:
         unique: bool = False,
         layout: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
-        """Write ``df``, merged with the previous table by key. Rows without a key are not stored.
+        """Write ``df``, merged with the previous table by key.
 
+        Rows that lack a part of the key go to a table of their own, ``<table>_rejected``.
         ``unique`` says that no key comes twice; ``layout`` decides how the files are laid out.
         """
         keys = KEYS[table]
+        rejected = df.where(reduce(or_, [F.col(k).isNull() for k in keys]))
+        if not rejected.isEmpty():
+            tables.write_table(rejected, self.out, f"{table}_rejected")
         rows = df.dropna(subset=list(keys))
-        if not unique:
-            rows = tables.latest_per_key(rows, keys)
         if self.previous is not None:
             rows = tables.upsert(tables.read_table(self.spark, self.previous, table), rows, keys)
+        elif not unique:
+            rows = tables.latest_per_key(rows, keys)
         tables.write_table(layout(rows) if layout else rows, self.out, table)
 
 
@@ -79,9 +86,11 @@ def save_users(run: Run) -> None:
     """The users, their genders filled in if the source names them."""
     users = directory.user_directory(raw.read_users(run.spark, run.source, run.mode))
     if run.name_gender:
-        names = raw.read_name_gender(run.spark, os.path.join(run.source, "name_gender.csv"))
+        names = raw.read_name_gender(run.spark, os.path.join(run.source, "name_gender.csv"), run.mode)
         run.save(TABLES.name_gender, names)
         users = directory.enrich_users(users, run.read(TABLES.name_gender))
+    elif run.previous is not None:
+        users = users.drop("gender")  # those known already stay
     run.save(TABLES.users, users)
 
 
@@ -93,7 +102,7 @@ def save_lexicon(run: Run) -> None:
             raw.read_word_list(run.spark, os.path.join(run.source, name), sign) for name, sign in lists
         ]
     else:
-        scored = raw.read_lexicon_csv(run.spark, os.path.join(run.source, "sentiments.csv"))
+        scored = raw.read_lexicon_csv(run.spark, os.path.join(run.source, "sentiments.csv"), run.mode)
         positive, negative = sentiment.split_lexicon(scored)
     run.save(TABLES.positive_words, positive)
     run.save(TABLES.negative_words, negative)

@@ -51,7 +51,7 @@ def site_report(
     """
     lat, lon = coordinates(lat, lon)
     found = cut_lineage(
-        competitors.competitors(
+        competitors.find_competitors(
             tables.directory,
             tables.business_categories,
             wanted_categories(wanted),
@@ -61,7 +61,7 @@ def site_report(
             settings.containment_threshold,
         )
     )
-    ids = size_checked(found.select("business_id"), settings.broadcast_rows)
+    ids = size_checked(found.select("business_id"), settings.broadcast_bytes)
     return SiteReport(
         weekdays=checkins.weekday_profile(tables.checkin_daily, ids),
         hours=checkins.hour_profile(tables.checkin_hourly, ids),
@@ -73,24 +73,40 @@ def site_report(
     )
 
 
+PLACE_COLUMNS = {
+    "name": "string", "distance": "double", "stars": "double", "review_count": "int",
+    "latitude": "double", "longitude": "double",
+}
+
+
 def report_lines(report: SiteReport) -> DataFrame:
-    """The report as one table: (section, label, position, value), for printing or storing."""
+    """The report as one table, for printing or storing.
+
+    (section, label, position, value) and, for places, their name, distance to two decimals,
+    stars, number of reviews, and for the map also where they are.
+    """
 
-    def lines(section: str, df: DataFrame, label: str, position: str | None, value: str) -> DataFrame:
+    def lines(
+        section: str, df: DataFrame, label: str, position: str | None, value: str, place: tuple[str, ...] = ()
+    ) -> DataFrame:
+        shown = {c: F.round("distance", 2) if c == "distance" else F.col(c) for c in place}
         return df.select(
             F.lit(section).alias("section"),
             F.col(label).cast("string").alias("label"),
             (F.col(position) if position else F.lit(None)).cast("int").alias("position"),
             F.col(value).cast("double").alias("value"),
+            *[shown.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PLACE_COLUMNS.items()],
         )
 
+    rated = ("name", "distance", "stars", "review_count")
     parts = [
         lines("weekday", report.weekdays, "day", "day_no", "check_ins"),
         lines("hour", report.hours, "hour", "hour_no", "check_ins"),
-        lines("competitor", report.competitors, "business_id", None, "distance"),
-        lines("top", report.top, "business_id", None, "stars"),
+        lines("competitor", report.competitors, "business_id", None, "distance", rated),
+        lines("top", report.top, "business_id", None, "stars", rated),
         lines("negative", report.negative_words, "text", None, "size"),
         lines("positive", report.positive_words, "text", None, "size"),
+        lines("map", report.map_rows, "kind", None, "distance", tuple(PLACE_COLUMNS)),
     ]
     whole = parts[0]
     for part in parts[1:]:

@@ -15,11 +15,10 @@ class Settings:
     suggestion_min_chars: int = 3
     suggestion_limit: int = 10
 
-    printed_lines: int = 200
-
     # scale limits: they decide how a plan runs, never what it returns
-    broadcast_rows: int = 500_000
+    broadcast_bytes: int = 16 << 20
     rows_per_slice: int = 50_000
+    pairs_per_slice: int = 25_000_000
     profiles_per_slice: int = 5_000
     places_per_slice: int = 5_000
     cell_degrees: float = 0.1

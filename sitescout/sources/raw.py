@@ -43,9 +43,9 @@ def read_users(spark: SparkSession, directory: str, mode: str = "FAILFAST") -> D
     return read_json_lines(spark, os.path.join(directory, "user.json"), schemas.RAW_USER, mode)
 
 
-def read_lexicon_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_lexicon_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """(word, sentiment) from a CSV file with a header."""
-    return spark.read.schema(schemas.LEXICON).option("header", True).csv(path)
+    return spark.read.schema(schemas.LEXICON).option("header", True).option("mode", mode).csv(path)
 
 
 def read_word_list(spark: SparkSession, path: str, sentiment: int) -> DataFrame:
@@ -55,9 +55,9 @@ def read_word_list(spark: SparkSession, path: str, sentiment: int) -> DataFrame:
     )
 
 
-def read_name_gender(spark: SparkSession, path: str) -> DataFrame:
+def read_name_gender(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """(name, gender) from a CSV file with a header."""
-    return spark.read.schema(schemas.NAME_GENDER).option("header", True).csv(path)
+    return spark.read.schema(schemas.NAME_GENDER).option("header", True).option("mode", mode).csv(path)
 
 
 def parse_json(column: Column, schema: T.DataType | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitescout.functions.geo import grid_cell
-from sitescout.joins import fits_broadcast
+from sitescout.joins import cut_lineage, size_checked
 
 
 def read_table(spark: SparkSession, directory: str, table: str) -> DataFrame:
@@ -71,13 +71,11 @@ def upsert(
 
     A key present in both takes the source's values, a new key is added, repeats of a key in
     the source collapse to one row. Columns the source lacks keep the target's values. The
-    target is only shuffled if a count shows the source to be too big to broadcast.
+    source is read once; the target is only shuffled if the source's keys are too big to broadcast.
     """
     keys = list(keys)
-    latest = latest_per_key(source, keys, order_by)
-    written = latest.select(*keys)
-    if fits_broadcast(source.select(*keys)):
-        written = F.broadcast(written)
+    latest = cut_lineage(latest_per_key(source, keys, order_by))
+    written = size_checked(latest.select(*keys))
     absent = [c for c in target.columns if c not in source.columns]
     if absent:
         untouched = target.join(written, keys, "left_semi").select(*keys, *absent)

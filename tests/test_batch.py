@@ -108,7 +108,7 @@ def test_top_is_ranked(spark, tables):
 def test_report_lines(singles):
     lines = report_lines(singles[1]).collect()
     sections = {r.section for r in lines}
-    assert sections == {"weekday", "hour", "competitor", "top", "negative", "positive"}
+    assert sections == {"weekday", "hour", "competitor", "top", "negative", "positive", "map"}
     found = singles[1].competitors.count()
     assert sum(r.section == "competitor" for r in lines) == found
     assert singles[1].map_rows.count() == found + 1
@@ -138,3 +138,27 @@ def test_profiles_average_existing_rows_only(spark):
     got = [tuple(r) for r in checkins.hour_profile(hourly, ids).collect()]
     assert got == [(9, "9:00", 5.0), (10, "10:00", 3.0), (None, "x", 7.0)]
 
+
+
+def test_batch_takes_repeated_ids_and_untidy_wishes_as_one_site_does(spark, tables):
+    again = tables.directory.where("business_id = 'b001'").selectExpr("business_id", "name", "'york' as city", "latitude", "longitude", "stars", "review_count")
+    twice = SiteTables(
+        tables.directory.unionByName(again), tables.business_categories, tables.checkin_daily, tables.checkin_hourly, tables.sentiments
+    )
+    sites = spark.createDataFrame([(1, 43.655, -79.375, 5.0, [" Food", "", None, "Bars\t", "Food"])], SCHEMA)
+    batch, one = site_report_batch(twice, sites), site_report(twice, "Food, Bars", 43.655, -79.375, 5.0)
+    for part, columns in {"weekdays": ("day", "check_ins"), "hours": ("hour", "check_ins"), "positive_words": ("text", "size")}.items():
+        assert rounded(getattr(batch, part).collect(), *columns) == rounded(getattr(one, part).collect(), *columns)
+    assert rounded(batch.competitors.collect(), "business_id", "score") == rounded(one.competitors.collect(), "business_id", "score")
+
+
+@pytest.mark.parametrize("site", [(1, 143.0, 0.0, 1.0, ["Food"]), (1, 43.0, 0.0, -1.0, ["Food"]), (1, 43.0, 0.0, 1.0, [" "]), (1, None, 0.0, 1.0, ["Food"])])
+def test_batch_checks_its_sites(spark, tables, site):
+    with pytest.raises(Exception, match="not a proper request"):
+        batch_competitors(spark.createDataFrame([site], SCHEMA), tables.directory, tables.business_categories).collect()
+
+
+def test_no_threshold_keeps_those_without_a_match(spark, tables):
+    site = [(1, 43.65, -79.38, 50.0, ["Food"])]
+    found = batch_competitors(spark.createDataFrame(site, SCHEMA), tables.directory, tables.business_categories, threshold=0.0)
+    assert {r.score for r in found.collect()} == {0.0, 1.0}

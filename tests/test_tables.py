@@ -134,6 +134,33 @@ def test_malformed_lines(spark, source, tmp_path):
         raw.read_businesses(spark, str(tmp_path)).collect()
     run_jobs(Run(spark, str(tmp_path), str(tmp_path / "out"), mode="PERMISSIVE"), ["directory"])
     assert tables.read_table(spark, str(tmp_path / "out"), TABLES.directory).count() == 1
+    assert tables.read_table(spark, str(tmp_path / "out"), f"{TABLES.directory}_rejected").count() == 1
+    (tmp_path / "sentiments.csv").write_text("word,sentiment\ngreat,very\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        raw.read_lexicon_csv(spark, str(tmp_path / "sentiments.csv")).collect()
+
+
+def test_a_business_without_a_city_is_set_aside(spark, tmp_path):
+    (tmp_path / "business.json").write_text(json.dumps(BUSINESSES[0]) + "\n" + json.dumps(dict(BUSINESSES[1], city=None)) + "\n")
+    run_jobs(Run(spark, str(tmp_path), str(tmp_path / "out")), ["directory"])
+    rejected = tables.read_table(spark, str(tmp_path / "out"), f"{TABLES.directory}_rejected")
+    assert rows(rejected, "business_id", "name") == [("b2", "B")]
+
+
+def test_known_genders_stay(spark):
+    users = spark.createDataFrame([(1, "Ann", "m"), (2, "Ann", None), (3, "Zoe", "f")], "user_id int, name string, gender string")
+    names = spark.createDataFrame([("Ann", "f")], "name string, gender string")
+    assert rows(directory.enrich_users(users, names), "user_id", "gender") == [(1, "m"), (2, "f"), (3, "f")]
+
+
+def test_keys_of_many_pairs_are_hot(spark, monkeypatch):
+    from dataclasses import replace
+
+    from sitescout import joins
+
+    monkeypatch.setattr(joins, "SETTINGS", replace(joins.SETTINGS, pairs_per_slice=100))
+    keys = spark.range(49).select(F.lit("k").alias("k"))
+    assert [(r.left_slices, r.right_slices) for r in hot_keys(keys, keys, "k", 50).collect()] == [(5, 5)]
 
 
 def test_raw_readers_take_directories_and_views_are_registered(spark, source, built):
@@ -261,12 +288,12 @@ def test_lookup_join_by_broadcast_and_by_slices(spark):
     for how in ("left", "inner"):
         expected = rows(facts.join(dim, "k", how), "id", "k", "v")
         assert rows(lookup_join(facts, dim, "k", F.col("id"), how), "id", "k", "v") == expected
-        assert rows(lookup_join(facts, dim, "k", F.col("id"), how, max_rows=0, per_slice=7), "id", "k", "v") == expected
+        assert rows(lookup_join(facts, dim, "k", F.col("id"), how, max_bytes=0, per_slice=7), "id", "k", "v") == expected
 
 
 def test_size_check_decides_the_broadcast(spark):
     df = spark.range(10)
-    analysed = [size_checked(df, n)._jdf.queryExecution().analyzed().toString() for n in (10, 9)]
+    analysed = [size_checked(df, n)._jdf.queryExecution().analyzed().toString() for n in (160, 159)]
     assert ["broadcast" in plan for plan in analysed] == [True, False]
 
 

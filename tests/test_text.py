@@ -88,7 +88,7 @@ def as_counts(words):
     return None if words is None else {w.word: w.n for w in words}
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_lexicon_rows": 0, "per_slice": 1}, {"max_lexicon_rows": 0}])
+@pytest.mark.parametrize("limits", [{}, {"max_lexicon_bytes": 0, "per_slice": 1}, {"max_lexicon_bytes": 0}])
 def test_business_sentiment(reviews, limits):
     rows = sentiment.business_sentiment(*reviews, **limits).collect()
     got = {
@@ -128,8 +128,8 @@ def test_word_counts(spark, reviews):
 
 def test_lexicon_size_is_checked_before_broadcast(reviews):
     plans = [
-        sentiment.business_sentiment(*reviews, max_lexicon_rows=n)._jdf.queryExecution().analyzed().toString()
-        for n in (SETTINGS.broadcast_rows, 0)
+        sentiment.business_sentiment(*reviews, max_lexicon_bytes=n)._jdf.queryExecution().analyzed().toString()
+        for n in (SETTINGS.broadcast_bytes, 0)
     ]
     assert ["_slice" in plan for plan in plans] == [False, True]
 
@@ -137,3 +137,9 @@ def test_lexicon_size_is_checked_before_broadcast(reviews):
 def test_lexicon_join_keeps_words_without_a_sentiment(reviews):
     _, tokens, lexicon = reviews
     assert [r.sentiment for r in sentiment.lexicon_join(tokens, lexicon).where("word = 'none'").collect()] == [None]
+
+
+def test_equal_tokens_of_a_large_lexicon_are_all_kept(spark):
+    tokens = spark.range(1000).select(F.lit("b1").alias("business_id"), F.lit("great").alias("word"))
+    lexicon = spark.createDataFrame([("great", 1), ("bad", -1)], "word string, sentiment int")
+    assert sentiment.lexicon_join(tokens, lexicon, max_lexicon_bytes=0).count() == 1000
