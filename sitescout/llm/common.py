@@ -54,6 +54,17 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that Spark hands to a Python worker at once; whole texts are in them.
+BATCH_ROWS = 1_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps what a Python worker holds at once to ``BATCH_ROWS`` rows, for this session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def value_bytes(df: DataFrame) -> int:
     """About the bytes that the values of ``df`` take in memory, and no less."""
     widths = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]

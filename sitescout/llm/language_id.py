@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import held_out, mix, prefix_sums, span_hashes, spans_of
+from sitescout.llm.common import bounded_batches, held_out, mix, prefix_sums, span_hashes, spans_of
 
 ROWS_PER_LANG, FIT_BYTES, MAX_LANGS = 100, 1 << 16, 50
 RUN_WORDS, RUNS, ROUNDS, RATE, RIDGE = (4, 40), 12, 15, 0.6, 1e-6
@@ -280,6 +280,7 @@ def identify(docs: DataFrame, field: Field | None) -> DataFrame:
     text = F.col("text").cast("string")
     if field is None:
         return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import as_bytes, bring_together, broadcast_if_small, mix, prefix_sums, span_hashes, stored, words_of
+from sitescout.llm.common import as_bytes, bounded_batches, bring_together, broadcast_if_small, mix, prefix_sums, span_hashes, stored, words_of
 from sitescout.llm.components import components
 
 REGISTERS, PER_BAND, MANTISSA_BITS = 128, 4, 10
@@ -396,6 +396,7 @@ def _same_ids(members: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text)."""
+    bounded_batches(docs.sparkSession)
     percent = round(100 * threshold)
     rows = stored(sketch(docs, size))
     linkable = rows.where("n_shingles > 0 and doc_id is not null")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import as_bytes, broadcast_if_small, expand, prefix_sums, span_hashes, stored
+from sitescout.llm.common import as_bytes, bounded_batches, broadcast_if_small, expand, prefix_sums, span_hashes, stored
 
 LENGTH, GRAM, SYMBOL = 200, 64, 8
 ROW = ["doc_id", "_text_hash"]
@@ -258,6 +258,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     same = (docs["doc_id"] == others["_d"]) & (docs["_text_hash"] == others["_h"])
     heads = docs.join(others, same, "left_anti")
 
+    bounded_batches(docs.sparkSession)
     anchors = stored(heads.mapInArrow(_anchor_batches, ANCHORS))
     often = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     often = often.select("anchor", F.ceil(F.col("n") / SEGMENTS_PER_SLICE).cast("int").alias("slices"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import HELD_OUT, broadcast_if_small, fold, mix, stored
+from sitescout.llm.common import HELD_OUT, bounded_batches, broadcast_if_small, fold, mix, stored
 
 ORDER, DISCOUNT = 6, 0.75
 FIT_FOLD, FIT_ROWS = 3, 20_000
@@ -277,6 +277,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model learned from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), but not from
     the held-out fold; None if a class is missing."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
     labels = broadcast_if_small(stored(labels))
     known = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(labels, "doc_id")
