@@ -11,8 +11,8 @@ four length-normalised features of the log-likelihood ratio are fitted: its mean
 its largest sums over one word and over the three best, and the share of words that lean to toxic.
 That fit uses at most ``FIT_ROWS`` rows, chosen by a hash of the id.
 
-The ratios go to the executors in a table of fixed size; sequences that meet in a slot are told
-apart by a tag, and the more frequent one stays.
+The ratios of all counted sequences and contexts are gathered, in parts, into one hash table that has
+room for as many as there are, and go to the executors in it: 18 bytes for each.
 
 Null and empty texts, and texts without letters, have features 0 and the score that goes with
 them. Rows with null labels are not learned from; a document with several labels counts for each.
@@ -36,7 +36,8 @@ from sitescout.llm.common import HELD_OUT, bounded_batches, broadcast_if_small,
 
 ORDER, DISCOUNT = 6, 0.75
 FIT_FOLD, FIT_ROWS = 3, 20_000
-SLOT_BITS, TAG_BITS = 21, 16
+#: Ratios that are gathered at once.
+PART_ROWS = 1 << 20
 CHUNK_CHARS = 1 << 20
 THRESHOLD = 0.3
 
@@ -155,7 +156,7 @@ def shared_models(counts: DataFrame) -> DataFrame:
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
-    """(key, is_context, ratio, n): log(toxic / ordinary) of the last byte of each sequence, and of a
+    """(key, is_context, ratio): log(toxic / ordinary) of the last byte of each sequence, and of a
     byte not yet seen after each context."""
     counts = counts.withColumn("h", _context("gram"))
     contexts = counts.groupBy("h").agg(
@@ -177,49 +178,73 @@ def log_ratios(counts: DataFrame) -> DataFrame:
         F.col("gram").alias("key"),
         F.lit(False).alias("is_context"),
         F.log(probability(1) / probability(0)).alias("ratio"),
-        (F.col("n0") + F.col("n1")).alias("n"),
     )
     unseen = contexts.select(
         F.col("h").alias("key"),
         F.lit(True).alias("is_context"),
         F.log(backoff(1) / backoff(0)).alias("ratio"),
-        (F.col("total0") + F.col("total1")).alias("n"),
     )
     return seen.unionByName(unseen)
 
 
-def _slots(keys: np.ndarray, is_context: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and tag (never 0) of each sequence or context."""
-    hashed = mix(keys.astype(np.uint64) ^ np.uint64(0x5851F42D4C957F2D if is_context else 0))
-    tag = (hashed >> np.uint64(64 - TAG_BITS)).astype(np.uint16) | np.uint16(1)
-    return (hashed & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64), tag
-
-
-SLOTTED = "slot int, tag int, ratio float, n long"
-
-
-def _slot_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = batch.column("key").to_numpy()
-        is_context = batch.column("is_context").to_numpy(zero_copy_only=False).astype(bool)
-        slots, tags = (np.where(is_context, c, g) for c, g in zip(_slots(keys, True), _slots(keys, False)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(slots, pa.int32()), pa.array(tags, pa.int32()), batch.column("ratio").cast(pa.float32()), batch.column("n")],
-            ["slot", "tag", "ratio", "n"],
-        )
+def _codes(keys: np.ndarray, is_context: np.ndarray | bool) -> np.ndarray:
+    """A number for each sequence or context, never 0; they have at most 48 bits."""
+    return keys.astype(np.uint64) << np.uint64(1) | np.asarray(is_context).astype(np.uint64)
 
 
 @dataclass
 class Model:
-    """Tags and ratios by slot, and the weights of the features (the first for none)."""
+    """Codes and ratios by slot (code 0: none), and the weights of the features (the first for none).
+
+    A code is in the first slot that was free from its own on; each search ends at a free slot.
+    """
 
-    tags: np.ndarray
+    codes: np.ndarray
     ratios: np.ndarray
+    n_slots: int
     weights: np.ndarray | None = None
 
+    @staticmethod
+    def of(codes: np.ndarray, ratios: np.ndarray) -> Model:
+        n_slots = len(codes) * 3 // 2 + 1
+        slots = _slots(codes, n_slots)
+        order = np.argsort(slots)
+        rank = np.arange(len(order))
+        at = np.maximum.accumulate(slots[order] - rank) + rank
+        size = max(n_slots, int(at.max(initial=0)) + 1) + 1
+        model = Model(np.zeros(size, np.uint64), np.zeros(size, np.float32), n_slots)
+        model.codes[at], model.ratios[at] = codes[order], ratios[order]
+        return model
+
     def look_up(self, keys: np.ndarray, is_context: bool) -> np.ndarray:
-        slot, tag = _slots(keys, is_context)
-        return np.where(self.tags[slot] == tag, self.ratios[slot], np.float32(np.nan))
+        codes = _codes(keys, is_context)
+        found = np.full(len(codes), np.nan, np.float32)
+        slots, sought = _slots(codes, self.n_slots), np.arange(len(codes))
+        while len(sought):
+            there = self.codes[slots]
+            hit = there == codes
+            found[sought[hit]] = self.ratios[slots[hit]]
+            more = ~hit & (there != 0)
+            slots, codes, sought = slots[more] + 1, codes[more], sought[more]
+        return found
+
+
+def _slots(codes: np.ndarray, n_slots: int) -> np.ndarray:
+    if n_slots >> 32:
+        return (mix(codes) % np.uint64(n_slots)).astype(np.int64)
+    return ((mix(codes) >> np.uint64(32)) * np.uint64(n_slots) >> np.uint64(32)).astype(np.int64)
+
+
+def gathered(ratios: DataFrame) -> Model:
+    """The model of all ``ratios`` (key, is_context, ratio), without weights."""
+    ratios = stored(ratios.select("key", "is_context", F.col("ratio").cast("float").alias("ratio")))
+    parts = -(-ratios.count() // PART_ROWS) or 1
+    codes, values = [np.empty(0, np.uint64)], [np.empty(0, np.float32)]
+    for part in range(parts):
+        rows = ratios.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == part).toArrow()
+        codes.append(_codes(rows["key"].to_numpy(), rows["is_context"].to_numpy()))
+        values.append(rows["ratio"].to_numpy())
+    return Model.of(np.concatenate(codes), np.concatenate(values))
 
 
 N_FEATURES = 4
@@ -287,11 +312,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     n0, n1 = counts.agg(F.sum("n0"), F.sum("n1")).first()
     if not n0 or not n1:
         return None
-    slotted = log_ratios(counts).select("key", "is_context", "ratio", "n").mapInArrow(_slot_batches, SLOTTED)
-    best = slotted.groupBy("slot").agg(F.max_by(F.struct("tag", "ratio"), F.struct("n", "tag", "ratio")).alias("kept"))
-    table = best.select("slot", "kept.tag", "kept.ratio").toPandas()  # at most 2^21 rows
-    model = Model(np.zeros(1 << SLOT_BITS, np.uint16), np.zeros(1 << SLOT_BITS, np.float32))
-    model.tags[table["slot"]], model.ratios[table["slot"]] = table["tag"], table["ratio"]
+    model = gathered(log_ratios(counts))
     fitted = known.where(fold() == FIT_FOLD).orderBy(F.xxhash64("doc_id"), "text", "toxic").limit(FIT_ROWS)
     fitted = fitted.select("toxic", _feature_udf(spark.sparkContext.broadcast(model))("text").alias("x")).toPandas()
     if fitted["toxic"].nunique() < 2:

@@ -92,3 +92,20 @@ def test_learns_and_never_reads_the_held_out_fold(spark):
     assert again == {i: r.score for i, r in scored.items()}
     assert tx.train(docs, table.where("toxic = 0")) is None
     assert tx.score(docs.limit(0), None).count() == 0
+
+
+def test_every_counted_sequence_is_kept(spark, monkeypatch):
+    monkeypatch.setattr(tx, "PART_ROWS", 10_000, raising=False)
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    texts = [" ".join("".join(rng.choice(letters, 7)) for _ in range(60)) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    model = tx.train(docs, labels)
+    counted = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 4 not in (tx.HELD_OUT, tx.FIT_FOLD)]
+    grams = np.array(sorted({int.from_bytes(g, "big") for t in counted for g in grams_of(t)}), np.uint64)
+    assert len(grams) > 40_000
+    assert not np.isnan(model.look_up(grams, False)).any()
+    assert not np.isnan(model.look_up(grams >> np.uint64(8), True)).any()
+    absent = grams + (np.uint64(1) << np.uint64(50))
+    assert np.isnan(model.look_up(absent, False)).all()
