@@ -7,8 +7,8 @@ every word its probabilities given the whole text, so a few foreign words keep t
 The text gets the language with the highest mean probability, which is its score.
 
 The field is fitted on a bounded sample of labelled rows outside the held-out fold: at most
-``ROWS_PER_LANG`` texts of up to ``FIT_BYTES`` bytes, chosen by a hash of the id, for each of the
-``MAX_LANGS`` commonest languages. Runs of their words are spliced into mixed sequences, so that
+``ROWS_PER_LANG`` texts, chosen by a hash of the id, for each language there is; of texts beyond
+``FIT_BYTES`` bytes a piece at the beginning. Runs of their words are spliced into mixed sequences, so that
 changes of language are learned too. Prediction reads whole texts, in pieces of bounded memory
 but for a text longer than that.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sitescout.llm.common import bounded_batches, held_out, mix, prefix_sums, span_hashes, spans_of
 
-ROWS_PER_LANG, FIT_BYTES, MAX_LANGS = 100, 1 << 16, 50
+ROWS_PER_LANG, FIT_BYTES = 100, 1 << 16
 RUN_WORDS, RUNS, ROUNDS, RATE, RIDGE = (4, 40), 12, 15, 0.6, 1e-6
 TABLE_BITS, AFFIXES, BLOCK = 16, (3, 4), 128
 CHUNK_BYTES = 1 << 20
@@ -255,8 +255,12 @@ def predict(field: Field, texts: list[str | None]) -> list[tuple[str, float]]:
 def fit_sample(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> list:
     """Rows (text, lang) to learn from: a bounded number for each language."""
     known = docs.where(~held_out()).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    known = known.where(F.col("lang").isNotNull() & (F.octet_length("text") <= FIT_BYTES) & F.col("text").rlike(r"\p{L}"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    known = known.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # of a long text the piece from its first letter on, of at most four bytes a character
+    since_letter = F.regexp_replace("text", r"^\P{L}+", "")
+    piece = F.when(F.octet_length("text") <= FIT_BYTES, F.col("text")).otherwise(F.substring(since_letter, 1, FIT_BYTES // 4))
+    known = known.withColumn("text", piece)
+    counts = known.groupBy("lang").count().collect()
     if not counts:
         return []
     # about twice the rows wanted of each language, so that choosing among them is little work

@@ -1,4 +1,5 @@
 import itertools
+import zlib
 
 import numpy as np
 
@@ -73,3 +74,14 @@ def test_held_out_labels_are_not_read_and_empty_tables_pass(spark):
     assert first.languages == second.languages and np.array_equal(first.weights, second.weights)
     assert li.train(docs.limit(0)) is None
     assert {r.lang_pred for r in li.identify(docs, None).collect()} == {"und"}
+
+
+def test_rare_languages_and_those_of_long_texts_are_learned(spark):
+    kept = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"word{chr(97 + i % 26)} other", f"l{k % 60:02}") for k, i in enumerate(kept[:120])]
+    rows += [(kept[120], "... " * 30_000 + "un long texte " * 10_000, "long"), (kept[121], "no language", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = li.fit_sample(docs)
+    assert {r.lang for r in sample} == {f"l{k:02}" for k in range(60)} | {"long"}
+    assert all(len(r.text.encode()) <= li.FIT_BYTES for r in sample)
+    assert next(r.text for r in sample if r.lang == "long").startswith("un long texte")
