@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitescout.llm import (
+    alignment,
     decontaminate,
     fingerprints,
     language_id,
@@ -78,6 +79,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_compact_windows": op8_compact_windows,
     "op9_source_mix": op9_source_mix,
     "op10_language_id": op10_language_id,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 LINE_DEDUP_SQL = r"""
