@@ -17,6 +17,7 @@ from sitescout.llm import (
     mixture,
     near_dedup,
     passages,
+    periodicity,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -84,6 +85,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), *paths)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodicity.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op9_source_mix": op9_source_mix,
     "op10_language_id": op10_language_id,
     "op11_token_alignment": op11_token_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 LINE_DEDUP_SQL = r"""
