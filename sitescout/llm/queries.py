@@ -18,6 +18,7 @@ from sitescout.llm import (
     near_dedup,
     passages,
     periodicity,
+    sharding,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -85,6 +86,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), *paths)
 
 
+def op12_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodicity.periodic_runs(table(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op9_source_mix": op9_source_mix,
     "op10_language_id": op10_language_id,
     "op11_token_alignment": op11_token_alignment,
+    "op12_minimax_shards": op12_minimax_shards,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
