@@ -15,8 +15,9 @@ import fixtures as fx  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 from sitescout import joins  # noqa: E402
 from sitescout.operators import categories, checkins, competitors, directory, sentiment, similarity  # noqa: E402
-from sitescout.plans import batch, report  # noqa: E402
-from sitescout.sources import raw, tables  # noqa: E402
+from sitescout.plans import batch, increments, report  # noqa: E402
+from sitescout.sources import raw  # noqa: E402
+from sitescout.sources.keyed import KeyedTable  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,11 +60,16 @@ def literal_id_list_join(spark, sf):
 
 
 def keyed_upsert(spark, sf):
-    """Closed businesses are rated anew and one business is added; names stay as they are."""
+    """Closed businesses are rated anew and one business is added; names stay as they are.
+
+    The table is stored by key first; the batch rewrites the buckets its keys fall in.
+    """
     target = fx.business(spark, sf).select("business_id", "name", "stars", "review_count")
     closed = fx.business(spark, sf).where("is_open = 0").select("business_id", F.lit(1.0).alias("stars"))
     added = raw.from_rows(spark, [(-1, 5.0)], "business_id long, stars double")
-    return tables.upsert(target, closed.unionByName(added), ["business_id"])
+    table = KeyedTable.create(target, joins.scratch_path(spark, "keyed_upsert"), ["business_id"], buckets=16)
+    table.upsert(closed.unionByName(added))
+    return table.read()
 
 
 def report_map_rows(spark, sf):
@@ -165,6 +171,18 @@ def checkin_flatten_nested(spark, sf):
     return checkins.checkins_hourly(days.groupBy("business_id").agg(nested.alias("time")))
 
 
+def checkin_daily_delta(spark, sf):
+    """Daily totals after a batch of hours, given twice, from the changed hours alone."""
+    hourly, daily = increments.create_checkin_tables(
+        fx.checkin_hourly(spark, sf), joins.scratch_path(spark, "checkins"), buckets=16
+    )
+    hourly.upsert(fx.checkin_batch(spark, sf))
+    increments.update_daily(hourly, daily)
+    hourly.upsert(fx.checkin_batch(spark, sf))
+    increments.update_daily(hourly, daily)
+    return daily.read()
+
+
 def weekday_profile(spark, sf):
     return checkins.weekday_profile(fx.checkin_daily(spark, sf), _selected(spark, sf))
 
@@ -221,7 +239,8 @@ def _batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _batch_found(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.cut_lineage(_batch(spark, sf).select("site_id", "business_id"))
+    found = batch.find_competitors(fx.sites(spark, sf), fx.business(spark, sf), fx.business_categories(spark, sf))
+    return joins.cut_lineage(found.select("site_id", "business_id"))
 
 
 def batch_competitors(spark, sf):
@@ -269,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "checkin_hourly": fx.checkin_hourly,
     "checkin_flatten_nested": checkin_flatten_nested,
     "checkin_daily": fx.checkin_daily,
+    "checkin_daily_delta": checkin_daily_delta,
     "weekday_profile": weekday_profile,
     "hour_profile": hour_profile,
     "tip_tokens": fx.tip_tokens,

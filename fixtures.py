@@ -101,6 +101,15 @@ def checkin_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkins.checkins_daily(checkin_hourly(spark, sf_dir))
 
 
+def checkin_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that arrive later: all of the weekends anew, one higher, and a holiday for open businesses."""
+    weekends = checkin_hourly(spark, sf_dir).where(F.col("day_of_week").isin("Saturday", "Sunday"))
+    holidays = business(spark, sf_dir).where("is_open = 1").select(
+        "business_id", F.lit("Holiday").alias("day_of_week"), F.lit("12:00").alias("day_hour"), F.lit(1).cast("long").alias("check_in")
+    )
+    return weekends.withColumn("check_in", F.col("check_in") + 1).unionByName(holidays)
+
+
 def tips(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.expr("substring(source, 4)").cast("long")
     spread = F.when(number == 0, number).otherwise(number + 20 * (F.col("doc_id") % 75))

@@ -216,6 +216,12 @@ where similarity >= {MIN_SIMILARITY / 2}""",
     "checkin_hourly": "select * from checkin_hourly",
     "checkin_flatten_nested": "select * from checkin_hourly",
     "checkin_daily": "select * from checkin_daily",
+    "checkin_daily_delta": """
+select business_id, day_of_week, cast(sum(check_in) as bigint) as check_in from (
+  select business_id, day_of_week,
+         check_in + case when day_of_week in ('Saturday', 'Sunday') then 1 else 0 end as check_in from checkin_hourly
+  union all select business_id, 'Holiday', 1 from business where is_open = 1) as t
+group by 1, 2""",
     "weekday_profile": "select * from weekday_profile",
     "hour_profile": "select * from hour_profile",
     "tip_tokens": "select business_id, word from tip_tokens",

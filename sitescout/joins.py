@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitescout.settings import SETTINGS
@@ -37,23 +38,53 @@ def size_checked(df: DataFrame, max_bytes: int = SETTINGS.broadcast_bytes) -> Da
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the cluster's checkpoint folder, for several readers.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Where none is set, a local session
-    gets a temporary one; on a cluster that is an error, as the folder must be shared.
+    Where none is set, a local session gets a temporary one; on a cluster that is an error.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if context.master.split("[")[0] != "local":
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="sitescout-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the cluster's checkpoint folder, for several readers."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+_scratch: set[str] = set()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for a table that ``release_scratch`` may delete."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.add(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder in any store that Spark can reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Deletes the scratch tables of this process and says how many; frames that read them end with that."""
+    released = 0
+    while _scratch:
+        delete_path(spark, _scratch.pop())
+        released += 1
+    return released
+
+
 def keep_selected(facts: DataFrame, ids: DataFrame, key: str = "business_id") -> DataFrame:
     """Rows of ``facts`` whose key is in ``ids``. Repeated ids do not repeat rows."""
     return facts.join(ids.select(key), key, "left_semi")

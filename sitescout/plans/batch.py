@@ -7,83 +7,104 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sitescout.functions import cells
 from sitescout.functions.calendar import hour_number, weekday_number
-from sitescout.functions.geo import (
-    covering_cells, distance_from_parts, grid_cell, lat_reach, trig_parts,
+from sitescout.functions.geo import distance_from_parts, trig_parts
+from sitescout.joins import (
+    cut_lineage, hot_keys, join_hot, join_in_slices, keep_selected, lookup_join, size_checked, slice_hot_keys,
 )
-from sitescout.joins import cut_lineage, hot_keys, join_hot, join_in_slices, slice_hot_keys
 from sitescout.operators import sentiment
-from sitescout.operators.categories import category_sets
 from sitescout.plans.report import SiteTables
 from sitescout.settings import SETTINGS, Settings
 
 
-def batch_competitors(
+def _row(business: DataFrame) -> Column:
+    """Tells rows of the directory apart, as an id may have several; equal rows are one."""
+    return F.xxhash64(*business.columns).alias("_row")
+
+
+def find_competitors(
     sites: DataFrame,
     business: DataFrame,
     pairs: DataFrame,
     threshold: float = SETTINGS.containment_threshold,
-    cell_degrees: float = SETTINGS.cell_degrees,
     per_slice: int = SETTINGS.places_per_slice,
 ) -> DataFrame:
-    """The competitors of every site: (site_id, business columns, distance, score).
-
-    Sites are sent to the grid cells their circle can touch and met there with the businesses of
-    the cell. With a positive threshold t a competitor has one of any n - ceil(t n) + 1 of the n
-    wanted categories, so they meet by cell and one of the rarest of them, and each pair counts
-    where it first meets. Crowded meeting places are joined in slices. Distance and match are
-    tested inside the join, so only competitors come out of it. Cells should be about as wide as
-    the usual radius: larger ones test more pairs, smaller ones repeat the sites more.
+    """The competitors of every site as (site_id, business_id, distance, score, _row).
+
+    ``_row`` stands for the directory's row of a competitor. A site's circle is covered by some dozens of cells, large ones inside and small ones at the rim,
+    whatever its radius; a business is in one cell of each level that occurs. With a positive threshold t
+    a competitor has one of any n - ceil(t n) + 1 of the n wanted categories, so sites and businesses meet by
+    cell and one of the rarest of them, and each pair counts where it first meets. Only ids, places and
+    the categories that some site wants go into the join; crowded meeting places are joined in slices.
+    Distance and match are tested inside it, so only competitors come out.
     """
     lat, lon, km = F.col("lat"), F.col("lon"), F.col("km")
+    place = F.col("latitude"), F.col("longitude")
     site_parts, business_parts = ("_sin1", "_cos1", "_lon1"), ("_sin2", "_cos2", "_lon2")
-    asked = _by_rarest(checked_sites(sites), pairs, threshold).select(
-        "site_id",
-        km,
+    sites = cut_lineage(checked_sites(sites))
+    wanted = size_checked(cut_lineage(sites.select(F.explode("wanted").alias("category")).distinct()))
+    relevant = cut_lineage(pairs.join(wanted, "category", "left_semi").select("business_id", "category"))
+    asked = _by_rarest(sites, relevant, threshold).select(
+        "site_id", lat, lon, km, "wanted", "sought",
         *[c.alias(name) for c, name in zip(trig_parts(lat, lon), site_parts)],
-        (lat - lat_reach(km)).alias("south"),
-        (lat + lat_reach(km)).alias("north"),
-        "wanted",
-        "sought",
-        F.explode(covering_cells(lat, lon, km, cell_degrees)).alias("cell"),
-    )
-    asked = asked.select("*", F.explode("sought").alias("category"))
-    place = F.col("latitude"), F.col("longitude")
-    in_cell = business.select(
-        "*",
-        grid_cell(*place, cell_degrees).alias("cell"),
+    )
+    partitions = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = cut_lineage(asked.repartition(partitions, "site_id"))
+    starts = [r[0] for r in asked.select(cells.first_level(km)).distinct().collect()]  # of some two dozen
+    asked = cells.with_covering(asked).drop("lat", "lon")  # worked out twice, which costs less than storing it
+    levels = sorted({s + step for s in starts for step in range(cells.RIM_LEVELS + 1)})
+
+    offered = relevant.groupBy("business_id").agg(F.collect_set("category").alias("categories"))
+    if threshold <= 0:  # also businesses with none of the wanted categories, if they have any category
+        anyone = pairs.select("business_id").distinct().join(offered, "business_id", "left")
+        offered = anyone.withColumn("categories", F.coalesce("categories", F.array().cast("array<string>")))
+    placed = business.select(
+        "business_id", _row(business), cells.ancestors(cells.place(*place), levels).alias("cells"),
         *[c.alias(name) for c, name in zip(trig_parts(*place), business_parts)],
-    ).join(category_sets(pairs), "business_id")
-    offered = F.col("categories") if threshold > 0 else F.array(F.lit(""))
-    in_cell = in_cell.select("*", F.explode(offered).alias("_category"))
-    asked = asked.withColumn("_place", F.struct("cell", "category"))
-    in_cell = in_cell.withColumn("_place", F.struct("cell", F.col("_category").alias("category"))).drop("cell")
+    ).distinct().join(offered, "business_id")
+    placed = cut_lineage(placed)
+
+    asked = asked.drop("level").withColumn("category", F.explode("sought"))
+    by_category = F.col("categories") if threshold > 0 else F.array(F.lit(""))
+    placed = placed.withColumn("cell", F.explode("cells")).drop("cells").withColumn("_category", F.explode(by_category))
+    asked = asked.withColumn("_met", F.struct("cell", "category")).drop("cell")
+    placed = placed.withColumn("_met", F.struct("cell", F.col("_category").alias("category"))).drop("cell", "_category")
     left, right = slice_hot_keys(
-        asked.drop("cell"),
-        in_cell.drop("_category"),
-        "_place",
-        F.col("site_id"),
-        F.col("business_id"),
-        hot_keys(asked.select("_place"), in_cell.select("_place"), "_place", per_slice),
-    )
+        asked, placed, "_met", F.col("site_id"), F.col("business_id"),
+        hot_keys(asked.select("_met"), placed.select("_met"), "_met", per_slice),
+    )
     distance = distance_from_parts(tuple(map(F.col, site_parts)), tuple(map(F.col, business_parts)))
     score = F.try_divide(F.size(F.array_intersect("wanted", "categories")), F.size("wanted"))
-    condition = (
-        F.col("latitude").between(F.col("south"), F.col("north"))
-        & (distance < km)
-        & (score >= threshold)
-    )
+    condition = (distance < km) & (score >= threshold)
     if threshold > 0:
         condition &= F.get(F.array_intersect("sought", "categories"), F.lit(0)) == F.col("category")
-    return join_in_slices(left, right, "_place").where(condition).select(
-        "site_id", *business.columns, distance.alias("distance"), score.alias("score")
+    return join_in_slices(left, right, "_met").where(condition).select(
+        "site_id", "business_id", distance.alias("distance"), score.alias("score"), "_row"
     )
 
 
+def batch_competitors(
+    sites: DataFrame,
+    business: DataFrame,
+    pairs: DataFrame,
+    threshold: float = SETTINGS.containment_threshold,
+    per_slice: int = SETTINGS.places_per_slice,
+) -> DataFrame:
+    """The competitors of every site: (site_id, business columns, distance, score).
+
+    The columns of a business are fetched once the competitors are known.
+    """
+    found = cut_lineage(find_competitors(sites, business, pairs, threshold, per_slice))
+    rows = business.withColumn("_row", _row(business))
+    described = lookup_join(found.drop("business_id"), rows, "_row", F.col("site_id"), how="inner")
+    return described.select("site_id", *business.columns, "distance", "score")
+
+
 def checked_sites(sites: DataFrame) -> DataFrame:
     """The sites with wanted categories trimmed, without blanks and repeats.
 
@@ -131,8 +152,11 @@ def _with_sites(found: DataFrame, facts: DataFrame) -> DataFrame:
     """Facts about a business for each site it competes with, once for each site.
 
     A business in the middle of a great many sites, or with a great many facts, is joined in slices.
+    Facts are worked out once, and only for businesses that were found.
     """
-    met = found.select("site_id", "business_id").distinct()
+    met = cut_lineage(found.select("site_id", "business_id").distinct())
+    ids = size_checked(cut_lineage(met.select("business_id").distinct()))
+    facts = cut_lineage(keep_selected(facts, ids))
     fact_id = F.struct(*[c for c in facts.columns if c != "business_id"])
     return join_hot(met, facts, "business_id", F.col("site_id"), fact_id)
 
@@ -190,7 +214,6 @@ def site_report_batch(
             tables.directory,
             tables.business_categories,
             settings.containment_threshold,
-            settings.cell_degrees,
             settings.places_per_slice,
         )
     )

@@ -67,7 +67,7 @@ def singles(tables):
     }
 
 
-@pytest.mark.parametrize("limits", [{}, {"per_slice": 3}, {"cell_degrees": 0.03}, {"cell_degrees": 7.3, "per_slice": 10}])
+@pytest.mark.parametrize("limits", [{}, {"per_slice": 3}])
 def test_batch_equals_one_by_one(spark, tables, singles, limits):
     found = batch_competitors(
         spark.createDataFrame(SITES, SCHEMA), tables.directory, tables.business_categories, **limits
