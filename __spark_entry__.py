@@ -13,8 +13,10 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import fixtures as fx  # noqa: E402
 from oracles import ORACLES  # noqa: E402
-from sitescout import joins  # noqa: E402
-from sitescout.operators import categories, checkins, competitors, directory, sentiment, similarity  # noqa: E402
+from sitescout import joins, sql  # noqa: E402
+from sitescout.operators import (  # noqa: E402
+    categories, checkins, competitors, directory, search_index, sentiment, similarity, word_lists,
+)
 from sitescout.plans import batch, increments, report  # noqa: E402
 from sitescout.sources import raw  # noqa: E402
 from sitescout.sources.keyed import KeyedTable  # noqa: E402
@@ -124,6 +126,12 @@ def category_search(spark, sf):
     return categories.category_search(category_dictionary(spark, sf), "bolt")
 
 
+def category_search_indexed(spark, sf):
+    path = joins.scratch_path(spark, "grams")
+    search_index.write_index(category_dictionary(spark, sf), "category", path)
+    return search_index.search_index(search_index.read_index(spark, path), "bolt")
+
+
 def category_cardinality(spark, sf):
     return categories.category_cardinality(fx.business_categories(spark, sf))
 
@@ -142,7 +150,7 @@ def pairwise_jaccard(spark, sf):
 
 def similar_businesses(spark, sf):
     pairs = fx.business_categories(spark, sf)
-    chosen = fx.business(spark, sf).where(F.col("business_id") < fx.CHOSEN)
+    chosen = fx.business(spark, sf).where(F.col("business_id") % 50 == 0)
     return similarity.similar_businesses(pairs, chosen, fx.MIN_SIMILARITY / 2)
 
 
@@ -198,6 +206,11 @@ def business_tip_bag(spark, sf):
     return sentiment.tip_bag(fx.business(spark, sf), fx.tip_tokens(spark, sf))
 
 
+def business_word_lists(spark, sf):
+    chunks = word_lists.word_chunks(fx.tips(spark, sf, "doc_id"), "doc_id", size=1000)
+    return chunks.select("business_id", "chunk_no", F.size("words").alias("n"), F.array_join("words", " ").alias("words"))
+
+
 def lexicon_join(spark, sf):
     return sentiment.lexicon_join(fx.tip_tokens(spark, sf), fx.lexicon(spark, sf))
 
@@ -226,6 +239,18 @@ def _word_counts(polarity: int) -> Query:
 # ---- reports
 
 
+def sql_competitors(spark, sf):
+    """The competitors by the SQL table function, its values given by name."""
+    sql.register(spark, fx.site_tables(spark, sf))
+    found = sql.run(spark, "competitors", wanted=", ".join(fx.WANTED), **fx.SITE)
+    return _rounded(found).select(*competitors.NEARBY_COLUMNS, "distance", "score")
+
+
+def sql_weekday_profile(spark, sf):
+    sql.register(spark, fx.site_tables(spark, sf))
+    return sql.run(spark, "weekday_profile", wanted=", ".join(fx.WANTED), **fx.SITE)
+
+
 def site_report(spark, sf):
     lines = report.report_lines(report.site_report(fx.site_tables(spark, sf), fx.WANTED, **fx.SITE))
     is_distance = F.col("section").isin("competitor", "map")
@@ -281,6 +306,7 @@ QUERIES: dict[str, Query] = {
     "business_id_list": business_id_list,
     "category_dictionary": category_dictionary,
     "category_search": category_search,
+    "category_search_indexed": category_search_indexed,
     "category_cardinality": category_cardinality,
     "category_profiles": category_profiles,
     "pairwise_jaccard": pairwise_jaccard,
@@ -293,12 +319,15 @@ QUERIES: dict[str, Query] = {
     "hour_profile": hour_profile,
     "tip_tokens": fx.tip_tokens,
     "business_tip_bag": business_tip_bag,
+    "business_word_lists": business_word_lists,
     "lexicon_join": lexicon_join,
     "lexicon_split": lexicon_split,
     "lexicon_union": lexicon_union,
     "business_sentiment": business_sentiment,
     "positive_word_counts": _word_counts(sentiment.POSITIVE),
     "negative_word_counts": _word_counts(sentiment.NEGATIVE),
+    "sql_competitors": sql_competitors,
+    "sql_weekday_profile": sql_weekday_profile,
     "site_report": site_report,
     "batch_competitors": batch_competitors,
     "batch_top_competitors": batch_top_competitors,

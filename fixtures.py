@@ -29,7 +29,6 @@ SEGMENT_WANTED = {
 }
 NAME_GENDER = [("AUTOMOBILE", "f"), ("BUILDING", "m"), ("HOUSEHOLD", "f"), ("HOUSEHOLD", "m")]
 MIN_SIMILARITY = 0.6
-CHOSEN = 25  # businesses with lower ids are compared with all
 
 
 # Stated rather than read from the files, which would take a job per table.
@@ -110,10 +109,10 @@ def checkin_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekends.withColumn("check_in", F.col("check_in") + 1).unionByName(holidays)
 
 
-def tips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tips(spark: SparkSession, sf_dir: str, *ids: str) -> DataFrame:
     number = F.expr("substring(source, 4)").cast("long")
     spread = F.when(number == 0, number).otherwise(number + 20 * (F.col("doc_id") % 75))
-    return table(spark, sf_dir, "documents").select(spread.alias("business_id"), "text")
+    return table(spark, sf_dir, "documents").select(spread.alias("business_id"), "text", *ids)
 
 
 def tip_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from fixtures import CHOSEN, MIN_SIMILARITY, NAME_GENDER, SEGMENT_WANTED, SITE, WANTED
+from fixtures import MIN_SIMILARITY, NAME_GENDER, SEGMENT_WANTED, SITE, WANTED
 from sitescout.functions.text import ENGLISH_STOP_WORDS
 
 
@@ -197,6 +197,8 @@ from business_categories group by business_id""",
     "business_id_list": "select business_id from business_categories",
     "category_dictionary": "select distinct category from business_categories",
     "category_search": """
+select distinct category from business_categories where contains(category, 'bolt') or contains(category, 'Bolt')""",
+    "category_search_indexed": """
 select distinct category from business_categories where contains(category, 'bolt') or contains(category, 'Bolt')""",
     "category_cardinality": """
 select count(distinct business_id) as businesses, count(distinct category) as categories from business_categories""",
@@ -209,7 +211,7 @@ with sizes as (select business_id, count(*) as n from business_categories group
      met as (select a.business_id as business_id1, b.business_id as business_id2, count(*) as k
              from business_categories as a join business_categories as b
              on a.category = b.category and a.business_id <> b.business_id
-             where a.business_id < {CHOSEN} group by 1, 2)
+             where a.business_id % 50 = 0 group by 1, 2)
 select * from (select business_id1, business_id2, k / cast(x.n + y.n - k as double) as similarity
   from met join sizes as x on x.business_id = business_id1 join sizes as y on y.business_id = business_id2) as t
 where similarity >= {MIN_SIMILARITY / 2}""",
@@ -228,6 +230,16 @@ group by 1, 2""",
     "business_tip_bag": """
 select b.business_id, t.word, count(t.word) as n
 from business as b left join tip_tokens as t on t.business_id = b.business_id group by 1, 2""",
+    "business_word_lists": f"""
+with listed as (
+  select doc_id, case when substr(source, 4) = '0' then 0 else cast(substr(source, 4) as bigint) + 20 * (doc_id % 75) end as business_id,
+         list_filter(string_split_regex(regexp_replace(text, '[!-/:-@\\[-`{{-~]', '', 'g'), '{_WORD_SPLIT}'),
+                     lambda w: w <> '' and lower(w) not in ({_texts(ENGLISH_STOP_WORDS)})) as words from documents),
+numbered as (
+  select business_id, word, row_number() over (partition by business_id order by doc_id, i) - 1 as number
+  from (select business_id, doc_id, unnest(words) as word, unnest(range(len(words))) as i from listed) as t)
+select business_id, number // 1000 as chunk_no, count(*) as n, string_agg(word, ' ' order by number) as words
+from numbered group by 1, 2""",
     "lexicon_join": "select t.business_id, t.word, l.sentiment from tip_tokens as t join lexicon as l on t.word = l.word",
     "lexicon_split": """
 select 'positive' as side, word, sentiment from lexicon where sentiment = 1
@@ -252,6 +264,8 @@ with dim as (select * from (values {', '.join(f'({_texts(row)})' for row in NAME
      one as (select name, min(gender) as gender from dim group by name having count(distinct gender) = 1)
 select c.c_custkey as user_id, c.c_mktsegment as name, one.gender
 from customer as c left join one on one.name = c.c_mktsegment""",
+    "sql_competitors": f"select {_PLACE}, score from competitors",
+    "sql_weekday_profile": "select day, check_ins from weekday_profile",
     "site_report": f"""
 with sections as (
   select 'weekday' as section, day as label, cast(day_no as int) as position, check_ins as value,
