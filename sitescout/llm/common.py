@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitescout.joins import cut_lineage
+from sitescout.joins import scratch_path
 
 FOLDS, HELD_OUT = 4, 2
 #: Spark may send a table of this many bytes to every executor.
@@ -35,25 +34,44 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return fold(doc_id) == HELD_OUT
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        cut_lineage(spark.range(0))  # sets it, or says what is missing
-    return context.getCheckpointDir()
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared folder, for several readers.
 
     A lost executor costs no more than the tasks it ran, and readers take only their columns.
+    ``sitescout.joins.release_scratch`` deletes these tables once their readers are done.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "stored")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OTHERS = "_other_columns"
+
+
+def set_apart(docs: DataFrame, *needed: str) -> DataFrame:
+    """The ``needed`` columns of ``docs`` that there are, and all others in one, where no name can clash."""
+    kept = [c for c in docs.columns if c in needed]
+    others = [docs[f"`{c}`"].alias(c) for c in docs.columns if c not in needed]
+    return docs.select(*kept, F.struct(F.lit(True).alias(free_name(docs, "_")), *others).alias(_OTHERS))
+
+
+def brought_back(worked: DataFrame, docs: DataFrame, *added: str) -> DataFrame:
+    """The columns of ``docs``, from what was made of their ``set_apart``, and the ``added`` ones.
+
+    A column of ``docs`` that bears the name of an added one is replaced by it.
+    """
+    packed = {f.name for f in worked.schema[_OTHERS].dataType.fields}
+    own = [c for c in docs.columns if c not in added]
+    return worked.select(*[F.col(_OTHERS)[c].alias(c) if c in packed else F.col(f"`{c}`") for c in own], *added)
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, or if ``docs`` have it, the same with a number."""
+    taken = {c.lower() for c in docs.columns}
+    return next(n for n in [name, *(f"{name}_{i}" for i in range(2, len(taken) + 3))] if n.lower() not in taken)
+
+
 #: Rows that Spark hands to a Python worker at once; whole texts are in them.
 BATCH_ROWS = 1_000
 

@@ -25,7 +25,7 @@ PIECE = r"\S{1,12}\s*|\s+"
 PLACE_BITS = 24
 PLACE, HASH = (1 << PLACE_BITS) - 1, ((1 << 63) - 1) ^ ((1 << PLACE_BITS) - 1)
 SLOT_HASH_BITS = 31
-DOCS_PER_RANGE = 4_000
+DOCS_PER_RANGE, MOST_CUTS = 4_000, 8
 
 
 def _let(value: Column, body) -> Column:
@@ -131,15 +131,32 @@ def likeness(a: Column, b: Column) -> Column:
 def with_next(docs: DataFrame, columns: list[str], docs_per_range: int = DOCS_PER_RANGE) -> DataFrame:
     """``docs`` (doc_id, _text_hash, ...) with ``next_<column>`` of the next row by id and hash.
 
-    After the last comes the first. Ids are cut into equal ranges, so that there is one range to
-    ``docs_per_range`` rows; the first row of each range is also sent to the range before it, as
-    its end. Null ids come first, as one range.
+    After the last comes the first. Rows are cut into ranges of some ``docs_per_range`` rows; the first
+    row of each is also sent to the range before it, as its end. A range is named by an array: the
+    equal parts of all ids, then, where a part has far too many rows because ids lie unevenly, the equal
+    parts of that part's ids, and so on; rows of one id, or without one, are parted by the hash of
+    their text. Null ids come first. Numbers are decimals, as differences of ids can exceed 64 bits.
     """
-    low, high, count = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) * docs_per_range // max(1, count)))
-    span = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
-    ranged = docs.withColumn("_range", span)
+    ranged = docs.withColumn("_range", F.array().cast("array<decimal(38,0)>"))
+    for _ in range(MOST_CUTS):
+        stats = ranged.groupBy("_range").agg(
+            F.count("*").alias("_n"),
+            *[f(c).cast("decimal(38,0)").alias(n) for c, ns in (("doc_id", ("_low", "_high")), ("_text_hash", ("_low2", "_high2"))) for f, n in zip((F.min, F.max), ns)],
+            F.max(F.col("doc_id").isNull()).alias("_has_null"),
+        )
+        crowded = stored(stats.where((F.col("_n") > 4 * docs_per_range) & ((F.col("_low") < F.col("_high")) | (F.col("_low2") < F.col("_high2")))))
+        if crowded.isEmpty():
+            break
+
+        def part(value: str, low: str, high: str) -> Column:
+            width = F.greatest(F.ceil((F.col(high) - F.col(low) + 1) * docs_per_range / F.col("_n")), F.lit(1))
+            return F.floor((F.col(value).cast("decimal(38,0)") - F.col(low)) / width).cast("decimal(38,0)")
+
+        by_id = F.coalesce(part("doc_id", "_low", "_high"), F.lit(-1).cast("decimal(38,0)"))
+        ids_differ = (F.col("_low") < F.col("_high")) | (F.col("_has_null") & F.col("_low").isNotNull())
+        place = F.when(F.col("_n").isNull(), F.lit(0).cast("decimal(38,0)")).when(ids_differ, by_id).otherwise(part("_text_hash", "_low2", "_high2"))
+        joined = ranged.join(broadcast_if_small(crowded), "_range", "left")
+        ranged = joined.withColumn("_range", F.concat("_range", F.array(place))).drop(*[c for c in crowded.columns if c != "_range"])
     heads = ranged.groupBy("_range").agg(F.min(F.struct("doc_id", "_text_hash")).alias("_head"))
     order = Window.orderBy("_range")
     last = F.max("_range").over(Window.partitionBy())

@@ -27,7 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import bounded_batches, held_out, mix, prefix_sums, span_hashes, spans_of
+from sitescout.llm.common import (
+    bounded_batches, brought_back, held_out, mix, prefix_sums, set_apart, span_hashes, spans_of,
+)
 
 ROWS_PER_LANG, FIT_BYTES = 100, 1 << 16
 RUN_WORDS, RUNS, ROUNDS, RATE, RIDGE = (4, 40), 12, 15, 0.6, 1e-6
@@ -292,5 +294,6 @@ def identify(docs: DataFrame, field: Field | None) -> DataFrame:
         return pd.DataFrame(predict(shared.value, texts.tolist()), columns=["lang_pred", "score"])
 
     has_letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    judged = docs.withColumn("_guess", guess(F.when(has_letter, text)))
-    return judged.withColumns({"lang_pred": F.col("_guess.lang_pred"), "score": F.col("_guess.score")}).drop("_guess")
+    judged = set_apart(docs, "text").withColumn("guess", guess(F.when(has_letter, text)))
+    judged = judged.withColumns({"lang_pred": F.col("guess.lang_pred"), "score": F.col("guess.score")})
+    return brought_back(judged, docs, "lang_pred", "score")

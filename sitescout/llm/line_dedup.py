@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import stored
+from sitescout.llm.common import brought_back, set_apart, stored
 
 LINES = 3
 ROW = ["doc_id", "_text_hash"]
@@ -72,7 +72,7 @@ def kept_lines(of: Column, starts: Column, lines: int = LINES) -> Column:
 
 def dedup_lines(docs: DataFrame, text: str = "text", lines: int = LINES) -> DataFrame:
     """``docs`` with the text cut, and ``n_lines``, ``n_removed`` and ``n_spans`` (removed runs)."""
-    docs = docs.drop("n_lines", "n_removed", "n_spans")
+    given, docs = docs, set_apart(docs, "doc_id", text)
     later = later_windows(stored(line_windows(docs, text, lines)))
     per_doc = later.groupBy(*ROW).agg(F.array_sort(F.collect_set("start")).alias("_starts"))
     per_doc = per_doc.select(F.col("doc_id").alias("_doc"), F.col("_text_hash").alias("_hash"), "_starts")
@@ -81,12 +81,12 @@ def dedup_lines(docs: DataFrame, text: str = "text", lines: int = LINES) -> Data
     of, starts = _lines(text), F.col("_starts")
     kept = F.when(starts.isNull(), of).otherwise(kept_lines(of, starts, lines))
     spans = F.filter(starts, lambda s, i: (i == 0) | (s > F.get(starts, i - 1) + lines))
-    return (
+    cut = (
         hashed.join(per_doc, same, "left")
         .withColumn("_kept", kept)
         .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size(of)))
         .withColumn("n_removed", F.when(starts.isNull(), 0).otherwise(F.col("n_lines") - F.size("_kept")))
         .withColumn("n_spans", F.when(starts.isNull(), 0).otherwise(F.size(spans)))
         .withColumn(text, F.when(starts.isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n")))
-        .drop("_doc", "_hash", "_starts", "_kept", "_text_hash")
     )
+    return brought_back(cut, given, "n_lines", "n_removed", "n_spans")

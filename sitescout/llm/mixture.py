@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import broadcast_if_small, stored
+from sitescout.llm.common import broadcast_if_small, brought_back, set_apart, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2.0, "mix"
@@ -71,20 +71,20 @@ def mix_sources(
     seed: str = SEED,
 ) -> DataFrame:
     """``docs`` with size, source_size, target (of its source), copies and taken (size * copies)."""
-    docs = docs.drop("size", "source_size", "target", "copies", "taken").withColumn("size", n_words())
+    given, docs = docs, set_apart(docs, "doc_id", "text", "source").withColumn("size", n_words())
     targets = broadcast_if_small(stored(source_targets(docs.select("source", "size"), weights, share, most)))
     targets = targets.withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     copies = (F.floor(rate) + (draw(seed=seed) < rate - F.floor(rate)).cast("long")).cast("long")
-    return (
+    mixed = (
         docs.join(targets, docs["source"].eqNullSafe(targets["_source"]), "inner")
-        .drop("_source")
         .withColumn("copies", copies)
         .withColumn("taken", F.col("size") * F.col("copies"))
     )
+    return brought_back(mixed, given, "size", "source_size", "target", "copies", "taken")
 
 
-def emit_copies(mixed: DataFrame) -> DataFrame:
-    """Each document as often as the mix takes it, numbered by ``copy_no`` from 1."""
+def emit_copies(mixed: DataFrame, copy_no: str = "copy_no") -> DataFrame:
+    """Each document as often as the mix takes it, numbered from 1 in a column of that name."""
     taken = mixed.where("copies > 0")
-    return taken.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return taken.withColumn(copy_no, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))

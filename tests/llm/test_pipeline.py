@@ -140,6 +140,34 @@ def test_stages_take_empty_tables_and_extra_columns(spark, tmp_path):
     assert cp.dedup_near(spark, docs, str(tmp_path)).columns == docs.columns
 
 
+CLASHING = ("_starts", "_doc", "_hash", "_kept", "_text_hash", "_source", "_guess", "guess", "copy_no", "copies", "score", "lang_pred", "size",
+            "target", "taken", "n_lines", "_other_columns", "_", "_lines", "a b")
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    make_tables(spark, tmp_path)
+    plain = spark.read.parquet(f"{tmp_path}/documents.parquet").where("doc_id < 40 or doc_id > 499")
+    docs = plain.withColumns({c: cp.F.concat(cp.F.lit(c), cp.F.col("doc_id")) for c in CLASHING})
+    for name, stage in cp.STAGES:
+        got, want = stage(spark, docs, str(tmp_path)), stage(spark, plain, str(tmp_path))
+        last = name == "source_mix"
+        assert got.columns == docs.columns + ["copy_no_2"] * last
+        rows = got.collect()
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in CLASHING), name
+        key = ("copy_no_2", "copy_no") if last else ("doc_id", "doc_id")
+        assert sorted((r.doc_id, r[key[0]]) for r in rows) == sorted((r.doc_id, r[key[1]]) for r in want.collect())
+
+
+def test_a_text_of_many_languages_stays(spark):
+    rng = random.Random(2)
+    words = {c: [f"{c}{k}{c * 2}" for k in range(60)] for c in "abcdefg"}
+    rows = [(i, " ".join(rng.choices(words[c], k=40)), c) for i in range(140) for c in ["abcdefg"[i % 7]]]
+    rows += [(1000, " ".join(w for c in words for w in rng.choices(words[c], k=9)), None), (1001, "12 ... 3", None), (1002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in cp.identify_language(spark, docs, "").collect()}
+    assert kept == {r[0] for r in rows} - {1001, 1002}
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc"), (3, "\n\n\n\n"), (4, "\n\n\n"), (None, "b\nc\nd")]])
 def test_lines_of_odd_tables(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
