@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -340,12 +341,11 @@ QUERIES: dict[str, Query] = {
 
 CORE = tuple(QUERIES)
 
-try:  # the corpus operators are one removable subpackage, with the pipeline built on them
+# The corpus operators are one removable subpackage, with the pipeline built on them.
+if find_spec("sitescout.llm") and find_spec("corpus_pipeline"):
     import corpus_pipeline
     from sitescout.llm import queries as corpus_queries
-except ImportError:
-    pass
-else:
+
     QUERIES.update(corpus_queries.QUERIES)
     QUERIES["pipeline"] = corpus_pipeline.run
     ORACLES.update(corpus_queries.ORACLES)
