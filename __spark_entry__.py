@@ -342,7 +342,7 @@ QUERIES: dict[str, Query] = {
 CORE = tuple(QUERIES)
 
 # The corpus operators are one removable subpackage, with the pipeline built on them.
-if find_spec("sitescout.llm") and find_spec("corpus_pipeline"):
+if getattr(find_spec("sitescout.llm"), "origin", None) and find_spec("corpus_pipeline"):
     import corpus_pipeline
     from sitescout.llm import queries as corpus_queries
 
