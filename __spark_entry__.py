@@ -18,7 +18,7 @@ from sitescout import joins, sql  # noqa: E402
 from sitescout.operators import (  # noqa: E402
     categories, checkins, competitors, directory, search_index, sentiment, similarity, word_lists,
 )
-from sitescout.plans import batch, increments, report  # noqa: E402
+from sitescout.plans import batch, increments, nearest, report  # noqa: E402
 from sitescout.sources import raw  # noqa: E402
 from sitescout.sources.keyed import KeyedTable  # noqa: E402
 
@@ -277,6 +277,10 @@ def batch_top_competitors(spark, sf):
     return batch.batch_top_competitors(_rounded(_batch(spark, sf), 3))
 
 
+def batch_nearest(spark, sf):
+    return nearest.batch_nearest(fx.sites(spark, sf), fx.business(spark, sf), k=5)
+
+
 def batch_weekday_profile(spark, sf):
     return batch.batch_weekday_profile(fx.checkin_daily(spark, sf), _batch_found(spark, sf))
 
@@ -332,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "site_report": site_report,
     "batch_competitors": batch_competitors,
     "batch_top_competitors": batch_top_competitors,
+    "batch_nearest": batch_nearest,
     "batch_weekday_profile": batch_weekday_profile,
     "batch_hour_profile": batch_hour_profile,
     "batch_positive_word_counts": _batch_words(sentiment.POSITIVE),

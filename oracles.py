@@ -286,6 +286,12 @@ select section, label, position, cast(value as double) as value, cast(name as va
        cast(latitude as double) as latitude, cast(longitude as double) as longitude from sections""",
     "batch_competitors": "select site_id, business_id, name, stars, round(distance, 3) as distance, score from batch_competitors",
     "batch_top_competitors": "select * from batch_ranked where rank <= 5",
+    "batch_nearest": f"""
+select site_id, business_id, distance, cast(rank as int) as rank from (
+  select *, row_number() over (partition by site_id order by distance, business_id) as rank from (
+    select s.site_id, b.business_id, round({_distance('s.lat', 's.lon', 'b.latitude', 'b.longitude')}, 3) as distance
+    from sites as s cross join business as b) as d) as t
+where rank <= 5""",
     "batch_weekday_profile": f"""
 select k.site_id, {_DAY_NO.format(day='d.day_of_week')} as day_no, d.day_of_week as day, avg(d.check_in) as check_ins
 from checkin_daily as d join batch_competitors as k on k.business_id = d.business_id group by 1, 2, 3""",

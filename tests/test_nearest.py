@@ -1,0 +1,35 @@
+import random
+
+import pytest
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from sitescout.functions.geo import distance_km
+from sitescout.plans.nearest import batch_nearest
+
+
+def by_definition(sites, business, k):
+    distance = distance_km(*map(F.col, ("lat", "lon", "latitude", "longitude")))
+    every = sites.crossJoin(business).dropna(subset=["lat", "latitude"]).select("site_id", "business_id", F.round(distance, 3).alias("distance"))
+    rank = F.row_number().over(W.partitionBy("site_id").orderBy("distance", "business_id"))
+    return sorted(map(tuple, every.withColumn("rank", rank).where(F.col("rank") <= k).collect()))
+
+
+@pytest.mark.parametrize("k, per_slice", [(1, 5000), (7, 20), (1000, 5000)])
+def test_nearest_equal_definition(spark, k, per_slice):
+    rng = random.Random(k)
+    places = [(90.0, 0.0), (-90.0, 0.0), (0.0, 180.0), (0.0, -179.9999), (35.26, 45.0)]
+    places += [(rng.gauss(43.6, 0.05), rng.gauss(-79.4, 0.05)) for _ in range(150)] + [(43.65, -79.38)] * 90
+    places += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(40)] + [(None, None)]
+    business = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "business_id int, latitude double, longitude double")
+    asked = rng.sample(places, 12) + places[:5] + [(43.65, -79.38), (None, 1.0), (-43.0, 100.0)]
+    sites = spark.createDataFrame([(i, *p) for i, p in enumerate(asked)], "site_id int, lat double, lon double")
+    assert sorted(map(tuple, batch_nearest(sites, business, k, per_slice).collect())) == by_definition(sites, business, k)
+
+
+def test_nothing_to_find(spark):
+    sites = spark.createDataFrame([(1, 0.0, 0.0)], "site_id int, lat double, lon double")
+    business = spark.createDataFrame([], "business_id int, latitude double, longitude double")
+    assert batch_nearest(sites, business, 3).collect() == []
+    with pytest.raises(ValueError):
+        batch_nearest(sites, business, 0)
