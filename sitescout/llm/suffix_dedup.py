@@ -6,18 +6,21 @@ or another.
 Equal texts are told by hash; all but one of each only count as repeats. In every other text the
 window of 200 bytes at each place is owned by the least hash among its grams of 64 bytes, the
 anchor. Equal windows have equal anchors at equal distance, so only texts around anchors that
-occur more than once go on, as segments, dealt by anchor. No repeat is lost by this.
+occur more than once go on, as segments. No repeat is lost by this. Equal segments of an anchor are
+counted by hash: all their windows repeat, and one of them goes on to be compared with the others.
 
-A task gets the segments of its anchors from all shards of the corpus. Their windows, sorted by
+A task gets the different segments of its anchors from all shards of the corpus. Their windows, sorted by
 anchor and distance alone, are the first interleave. Each round puts the eight bytes in front of
 what has been compared so far, the symbols of the Burrows-Wheeler transform, before it: the
 symbols are read in the order of the interleave and placed stably by symbol, which gives the
 interleave by eight bytes more, as in merging transforms. No suffix is sorted again. Windows that
 stand alone among equals leave; after 25 rounds those that are left share 200 bytes, a repeated
-interval. Segments that are equal altogether are merged before, and repeated by that.
+interval.
 
-An anchor with very many segments is cut into slices by a hash of each window, so equal windows
-still meet. Null texts are empty. Rows that repeat an id are documents of their own: if the texts
+An anchor with more different segments than a task may hold is told apart further: their windows
+are put into blocks by distance, and what all windows of a block have in common, longer than the anchor, takes the
+anchor's place. So equal blocks are counted, others are compared, and where there are still too many,
+at the end of a common passage, each window is a block of its own, which is only counted. Null texts are empty. Rows that repeat an id are documents of their own: if the texts
 are equal, too, they are copies. Texts of under 200 bytes lose nothing. Other columns are not read.
 """
 
@@ -25,13 +28,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitescout.llm.common import as_bytes, bounded_batches, broadcast_if_small, expand, prefix_sums, span_hashes, stored
+from sitescout.llm.common import as_bytes, bounded_batches, broadcast_if_small, expand, mix, prefix_sums, span_hashes, stored
 
 LENGTH, GRAM, SYMBOL = 200, 64, 8
 ROW = ["doc_id", "_text_hash"]
@@ -39,7 +44,10 @@ CHUNK_BYTES = 1 << 20
 #: Window starts are numbered within a piece of a text, below the hash of a gram.
 PIECE_BITS = 22
 MERGE_BYTES = 2 << 20
+#: Different segments of an anchor that one task may hold.
 SEGMENTS_PER_SLICE = 20_000
+#: Windows of a block, where an anchor has more segments than that, and where a block has.
+BLOCKS = (16, 1)
 
 
 # ---- anchors
@@ -64,6 +72,11 @@ def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
 
 def find_anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """row, hash, place, first and last window start of each run of windows with one anchor."""
+    return _runs_of_anchors(texts)[:5]
+
+
+def _runs_of_anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """What ``find_anchors`` gives, and a hash of each run's bytes and of the anchor's place in them."""
     found: list[tuple[np.ndarray, ...]] = []
     grams = LENGTH - GRAM + 1
     for chunk in _pieces(texts):
@@ -87,61 +100,76 @@ def find_anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         opens = np.r_[True, (owner[1:] != owner[:-1]) | (piece[1:] != piece[:-1])]
         first = np.flatnonzero(opens)
         last = np.r_[first[1:], len(owner)] - 1
+        anchor, start, stop = owner[first], window[first], window[last]
+        kind = mix(span_hashes(sums, start, stop + LENGTH) + (anchor - start).astype(np.uint64))
         piece = piece[first]
         shift = np.array([o for _, o, _ in chunk])[piece] - starts[piece]
         rows = np.array([r for r, _, _ in chunk])[piece]
-        found.append((rows, hashes[owner[first]], owner[first] + shift, window[first] + shift, window[last] + shift))
+        found.append((rows, hashes[anchor], anchor + shift, start + shift, stop + shift, kind))
     if not found:
-        return tuple(np.empty(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, np.int64, np.uint64))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-ANCHORS = "doc_id long, _text_hash long, anchor long, place int, first int, last int"
+ANCHORS = "doc_id long, _text_hash long, anchor long, kind long, place int, first int, last int"
 
 
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, hashes, place, first, last = find_anchors([as_bytes(t.as_py()) for t in batch.column("text")])
+        rows, hashes, place, first, last, kind = _runs_of_anchors([as_bytes(t.as_py()) for t in batch.column("text")])
         taken = pa.array(rows, pa.int64())
         ints = [pa.array(x.astype(np.int32)) for x in (place, first, last)]
         ids = [batch.column(c).take(taken) for c in ROW]
-        yield pa.RecordBatch.from_arrays([*ids, pa.array(hashes.view(np.int64)), *ints], [*ROW, "anchor", "place", "first", "last"])
-
+        longs = [pa.array(x.view(np.int64)) for x in (hashes, kind)]
+        yield pa.RecordBatch.from_arrays([*ids, *longs, *ints], [*ROW, "anchor", "kind", "place", "first", "last"])
 
-# ---- segments
 
-SEGMENTS = "anchor long, slice int, doc_id long, _text_hash long, starts array<int>, distance int, windows int, segment binary"
+def _in_batches(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType], most: int = 5_000) -> Iterator[pa.RecordBatch]:
+    while held := list(islice(rows, most)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
 
 
-def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text around each anchor. Equal segments of one document are one row with all their starts."""
+def _with_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        out: list[tuple] = []
         for doc_id, text_hash, text, anchors in zip(*(batch.column(c).to_pylist() for c in [*ROW, "text", "anchors"])):
             data = as_bytes(text)
-            own: dict[tuple, list[int]] = {}
             for a in anchors:
-                spans = [(a["first"], a["last"])]
-                if a["slices"] > 1:
-                    spans = [(p, p) for p in range(a["first"], a["last"] + 1)]
-                for first, last in spans:
-                    segment = data[first : last + LENGTH]
-                    key = (a["anchor"], a["slices"], a["place"] - first, last - first + 1, segment)
-                    own.setdefault(key, []).append(first)
-            for (anchor, slices, distance, windows, segment), starts in own.items():
-                part = int.from_bytes(hashlib.blake2b(segment, digest_size=4).digest()) % slices if slices > 1 else 0
-                out.append((anchor, part, doc_id, text_hash, starts, distance, windows, segment))
-            if len(out) > 5_000:
-                yield _segment_batch(out)
-                out = []
-        yield _segment_batch(out)
-
-
-def _segment_batch(out: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*out)) if out else [()] * 8
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.binary()]
-    names = ["anchor", "slice", *ROW, "starts", "distance", "windows", "segment"]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+                yield doc_id, text_hash, data, a
+
+
+def _block_batches(size: int):
+    """Segments cut into blocks of windows whose distances have one quotient by ``size``."""
+
+    def number(data: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for doc_id, text_hash, data, a in _with_anchors(batches):
+            place = a["place"]
+            for block in range((place - a["last"]) // size, (place - a["first"]) // size + 1):
+                low, high = block * size, block * size + size - 1
+                first, last = max(a["first"], place - high), min(a["last"], place - low)
+                common = b"%d,%d;" % (a["anchor"], block) + data[place - low : place - high + LENGTH]
+                whole = b"%d;" % (place - first) + data[first : last + LENGTH]
+                yield doc_id, text_hash, number(common), number(whole), place, first, last
+
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 3
+    return lambda batches: _in_batches(blocks(batches), [*ROW, "anchor", "kind", "place", "first", "last"], kinds)
+
+
+# ---- segments
+
+SEGMENTS = "anchor long, doc_id long, _text_hash long, known boolean, first int, distance int, windows int, segment binary"
+
+
+def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text around each anchor."""
+    rows = (
+        (a["anchor"], doc_id, text_hash, a["known"], a["first"], a["place"] - a["first"], a["last"] - a["first"] + 1, data[a["first"] : a["last"] + LENGTH])
+        for doc_id, text_hash, data, a in _with_anchors(batches)
+    )
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    yield from _in_batches(rows, ["anchor", *ROW, "known", "first", "distance", "windows", "segment"], kinds)
 
 
 # ---- merging
@@ -188,36 +216,22 @@ SPANS = "doc_id long, _text_hash long, start int, stop int"
 
 def _merge(rows: list[tuple]) -> pa.RecordBatch:
     """Repeated spans of the documents of some segments; all segments of an anchor are there."""
-    distinct: dict[tuple, int] = {}
-    which, count = [], []
-    for anchor, part, _, _, starts, distance, _, segment in rows:
-        number = distinct.setdefault((anchor, part, distance, segment), len(distinct))
-        which.append(number)
-        if number == len(count):
-            count.append(0)
-        count[number] += len(starts)
-    keys = list(distinct)
-    numbers: dict[tuple, int] = {}
-    groups = np.array([numbers.setdefault(k[:2], len(numbers)) for k in keys], np.int64)
-    windows = np.array([len(k[3]) - LENGTH + 1 for k in keys], np.int64)
-    repeated = repeated_windows(groups, np.array([k[2] for k in keys], np.int64), windows, [k[3] for k in keys])
-    repeated |= np.repeat(np.array(count) > 1, windows)
+    anchors, doc_ids, text_hashes, known, firsts, distances, windows, segments = zip(*rows)
+    groups = np.unique(np.array(anchors, np.int64), return_inverse=True)[1]
+    windows = np.array(windows, np.int64)
+    repeated = repeated_windows(groups, np.array(distances, np.int64), windows, list(segments))
+    repeated &= ~np.repeat(np.array(known, bool), windows)
     # runs of repeated windows within each segment
-    inner = expand(np.zeros(len(keys), np.int64), windows)
-    segment = np.repeat(np.arange(len(keys)), windows)
+    at = expand(np.array(firsts, np.int64), windows)
+    segment = np.repeat(np.arange(len(rows)), windows)
     on = np.flatnonzero(repeated)
     opens = np.r_[True, (on[1:] != on[:-1] + 1) | (segment[on[1:]] != segment[on[:-1]])] if len(on) else np.empty(0, bool)
     first = np.flatnonzero(opens)
     last = np.r_[first[1:], len(on)] - 1 if len(first) else first
-    runs: dict[int, list[tuple[int, int]]] = {}
-    for s, a, b in zip(segment[on[first]].tolist(), inner[on[first]].tolist(), inner[on[last]].tolist()):
-        runs.setdefault(s, []).append((a, b + LENGTH))
-    out = [
-        (doc_id, text_hash, start + a, start + b)
-        for (_, _, doc_id, text_hash, starts, _, _, _), number in zip(rows, which)
-        for a, b in runs.get(number, ())
-        for start in starts
-    ]
+    runs: dict[tuple, list[tuple[int, int]]] = {}
+    for s, a, b in zip(segment[on[first]].tolist(), at[on[first]].tolist(), at[on[last]].tolist()):
+        runs.setdefault((doc_ids[s], text_hashes[s]), []).append((a, b + LENGTH))
+    out = [(*doc, start, stop) for doc, spans in runs.items() for start, stop in merged(sorted(spans))]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     columns = list(zip(*out)) if out else [()] * 4
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*ROW, "start", "stop"])
@@ -229,7 +243,7 @@ def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     size = 0
     for batch in batches:
         for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-            if size >= MERGE_BYTES and row[:2] != held[-1][:2]:
+            if size >= MERGE_BYTES and row[0] != held[-1][0]:
                 yield _merge(held)
                 held, size = [], 0
             held.append(row)
@@ -241,6 +255,37 @@ def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 # ---- the operator
 
 
+def _texts_at(heads: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The texts of the documents of ``chosen`` segments, each with an array of these."""
+    fields = [c for c in chosen.columns if c not in ROW]
+    per_doc = chosen.groupBy(*ROW).agg(F.collect_list(F.struct(*fields)).alias("anchors"))
+    per_doc = stored(per_doc.withColumnsRenamed({"doc_id": "_d", "_text_hash": "_h"}))
+    near = heads.join(per_doc, heads["doc_id"].eqNullSafe(per_doc["_d"]) & (heads["_text_hash"] == per_doc["_h"]))
+    return near.select(*ROW, "text", "anchors")
+
+
+def _spans_of_anchors(heads: DataFrame, anchors: DataFrame, may_cut: bool) -> tuple[list[DataFrame], DataFrame | None]:
+    """Spans of the windows of ``anchors`` that repeat, and the segments of anchors that have too many, if any."""
+    often = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    wanted = stored(anchors.join(often, "anchor"))
+    place = F.struct(*ROW, "place", "first", "last")
+    groups = stored(wanted.groupBy("anchor", "kind").agg(F.count("*").alias("n"), F.min(place).alias("one")))
+    equal = broadcast_if_small(stored(groups.where("n > 1").select("anchor", "kind")))
+    span = [F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop")]
+    spans = [wanted.join(equal, ["anchor", "kind"], "left_semi").select(*ROW, *span)]
+    kinds = stored(groups.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    chosen = groups.join(broadcast_if_small(kinds), "anchor")
+    chosen = stored(chosen.select("one.*", "anchor", (F.col("n") > 1).alias("known"), "kinds"))
+    crowded = chosen.where(F.col("kinds") > SEGMENTS_PER_SLICE).drop("known", "kinds")
+    if not may_cut or crowded.isEmpty():
+        crowded = None
+    else:
+        chosen = chosen.where(F.col("kinds") <= SEGMENTS_PER_SLICE)
+    segments = _texts_at(heads, chosen.drop("kinds")).mapInArrow(_segment_batches, SEGMENTS)
+    met = segments.repartition("anchor").sortWithinPartitions("anchor")
+    return [*spans, met.mapInArrow(_merge_batches, SPANS)], crowded
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, _text_hash, spans) of the documents that lose bytes; spans are (start, stop), in order."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
@@ -260,18 +305,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     bounded_batches(docs.sparkSession)
     anchors = stored(heads.mapInArrow(_anchor_batches, ANCHORS))
-    often = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    often = often.select("anchor", F.ceil(F.col("n") / SEGMENTS_PER_SLICE).cast("int").alias("slices"))
-    wanted = anchors.join(often, "anchor")
-    per_doc = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("anchor", "slices", "place", "first", "last")).alias("anchors"))
-    per_doc = stored(per_doc.withColumnsRenamed({"doc_id": "_d", "_text_hash": "_h"}))
-    near = heads.join(per_doc, heads["doc_id"].eqNullSafe(per_doc["_d"]) & (heads["_text_hash"] == per_doc["_h"]))
-    segments = near.select(*ROW, "text", "anchors").mapInArrow(_segment_batches, SEGMENTS)
-    met = segments.repartition("anchor", "slice").sortWithinPartitions("anchor", "slice")
-    spans = met.mapInArrow(_merge_batches, SPANS)
+    found = []
+    for block in (*BLOCKS, None):
+        spans, crowded = _spans_of_anchors(heads, anchors, may_cut=block is not None)
+        found += spans
+        if crowded is None:
+            break
+        anchors = stored(_texts_at(heads, crowded).mapInArrow(_block_batches(block), ANCHORS))
     whole = copies.select(*ROW, F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("stop"))
     span = F.struct("start", "stop")
-    return spans.unionByName(whole).groupBy(*ROW).agg(F.array_sort(F.collect_set(span)).alias("spans"))
+    return reduce(DataFrame.unionByName, found, whole).groupBy(*ROW).agg(F.array_sort(F.collect_set(span)).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
