@@ -16,10 +16,10 @@ import fixtures as fx  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 from sitescout import joins, sql  # noqa: E402
 from sitescout.operators import (  # noqa: E402
-    categories, checkins, competitors, directory, search_index, sentiment, similarity, word_lists,
+    categories, checkins, competitors, directory, rollups, search_index, sentiment, similarity, word_lists,
 )
 from sitescout.plans import batch, increments, nearest, report  # noqa: E402
-from sitescout.sources import raw  # noqa: E402
+from sitescout.sources import inferred, raw  # noqa: E402
 from sitescout.sources.keyed import KeyedTable  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,19 @@ def json_props_parse(spark, sf):
     return events.select("event_id", raw.parse_json(F.col("props"), "k int")["k"].alias("k"))
 
 
+def json_inferred(spark, sf):
+    """Events as JSON lines of differing fields, one of them of two types, read without a schema."""
+    events = fx.table(spark, sf, "events")
+    own = ["event_id", F.when(F.col("event_type") == "click", F.col("value")).alias("amount")]
+    own += [F.when(F.col("event_type") != "click", F.col("user_id")).alias("visitor"), F.from_json("props", "k int").alias("props")]
+    as_number = F.to_json(F.struct(*own, F.col("user_id").alias("mark")))
+    as_text = F.to_json(F.struct(*own, F.concat(F.lit("u"), "user_id").alias("mark")))
+    lines = events.select(F.when(F.col("event_id") % 2 == 0, as_number).otherwise(as_text).alias("value"))
+    objects = joins.cut_lineage(inferred.parse_objects(lines))
+    rows = inferred.typed(objects, inferred.inferred_schema(objects))
+    return rows.select("event_id", "amount", "visitor", F.col("props.k").alias("k"), F.col("mark").cast("string").alias("mark"))
+
+
 def literal_id_list_join(spark, sf):
     ids = raw.from_rows(spark, [(1,), (2,), (3,)], "business_id long")
     return fx.business(spark, sf).join(F.broadcast(ids), "business_id", "left_semi").select("business_id", "name")
@@ -133,6 +146,13 @@ def category_search_indexed(spark, sf):
     return search_index.search_index(search_index.read_index(spark, path), "bolt")
 
 
+def category_cardinality_by_city(spark, sf):
+    """Distinct businesses by city, by state, over all and by category, from bitmaps made once."""
+    business = fx.business(spark, sf)
+    bitmaps = rollups.category_bitmaps(fx.business_categories(spark, sf), business, rollups.number_by_place(business))
+    return rollups.cardinality_levels(joins.cut_lineage(bitmaps))
+
+
 def category_cardinality(spark, sf):
     return categories.category_cardinality(fx.business_categories(spark, sf))
 
@@ -180,6 +200,14 @@ def checkin_flatten_nested(spark, sf):
     return checkins.checkins_hourly(days.groupBy("business_id").agg(nested.alias("time")))
 
 
+def checkin_flatten_json(spark, sf):
+    """Hourly check-ins out of JSON texts of days and hours, with no schema stated."""
+    hours = F.map_from_entries(F.collect_list(F.struct("day_hour", "check_in")))
+    days = fx.checkin_hourly(spark, sf).groupBy("business_id", "day_of_week").agg(hours.alias("hours"))
+    nested = days.groupBy("business_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("day_of_week", "hours")))).alias("t"))
+    return inferred.checkins_from_json(nested.select("business_id", F.parse_json("t").alias("time")))
+
+
 def checkin_daily_delta(spark, sf):
     """Daily totals after a batch of hours, given twice, from the changed hours alone."""
     hourly, daily = increments.create_checkin_tables(
@@ -295,6 +323,7 @@ def _batch_words(polarity: int) -> Query:
 
 QUERIES: dict[str, Query] = {
     "json_props_parse": json_props_parse,
+    "json_inferred": json_inferred,
     "literal_id_list_join": literal_id_list_join,
     "keyed_upsert": keyed_upsert,
     "report_map_rows": report_map_rows,
@@ -313,11 +342,13 @@ QUERIES: dict[str, Query] = {
     "category_search": category_search,
     "category_search_indexed": category_search_indexed,
     "category_cardinality": category_cardinality,
+    "category_cardinality_by_city": category_cardinality_by_city,
     "category_profiles": category_profiles,
     "pairwise_jaccard": pairwise_jaccard,
     "similar_businesses": similar_businesses,
     "checkin_hourly": fx.checkin_hourly,
     "checkin_flatten_nested": checkin_flatten_nested,
+    "checkin_flatten_json": checkin_flatten_json,
     "checkin_daily": fx.checkin_daily,
     "checkin_daily_delta": checkin_daily_delta,
     "weekday_profile": weekday_profile,

@@ -169,6 +169,10 @@ _PLACE = "latitude, longitude, city, business_id, name, stars, review_count, rou
 
 _BODIES = {
     "json_props_parse": "select event_id, cast(json_extract_string(props, '$.k') as int) as k from events",
+    "json_inferred": """
+select event_id, case when event_type = 'click' then value end as amount, case when event_type <> 'click' then user_id end as visitor,
+       cast(json_extract_string(props, '$.k') as bigint) as k,
+       case when event_id % 2 = 0 then '' else 'u' end || user_id as mark from events""",
     "literal_id_list_join": "select business_id, name from business where business_id in (1, 2, 3)",
     "keyed_upsert": """
 with src as (select business_id, 1.0::double as stars from business where is_open = 0
@@ -202,6 +206,12 @@ select distinct category from business_categories where contains(category, 'bolt
 select distinct category from business_categories where contains(category, 'bolt') or contains(category, 'Bolt')""",
     "category_cardinality": """
 select count(distinct business_id) as businesses, count(distinct category) as categories from business_categories""",
+    "category_cardinality_by_city": """
+with placed as (select b.state, b.city, c.category, b.business_id from business as b join business_categories as c on b.business_id = c.business_id)
+select 'city' as level, state, city, cast(null as varchar) as category, count(distinct business_id) as businesses from placed group by state, city
+union all select 'state', state, null, null, count(distinct business_id) from placed group by state
+union all select 'all', null, null, null, count(distinct business_id) from placed
+union all select 'category', null, null, category, count(distinct business_id) from placed group by category""",
     "city_directory": """
 select distinct concat(upper(substring(city, 1, 1)), lower(substring(city, 2))) as city, state from business""",
     "category_profiles": "select business_id, profile_id from category_profiles",
@@ -217,6 +227,7 @@ select * from (select business_id1, business_id2, k / cast(x.n + y.n - k as doub
 where similarity >= {MIN_SIMILARITY / 2}""",
     "checkin_hourly": "select * from checkin_hourly",
     "checkin_flatten_nested": "select * from checkin_hourly",
+    "checkin_flatten_json": "select * from checkin_hourly",
     "checkin_daily": "select * from checkin_daily",
     "checkin_daily_delta": """
 select business_id, day_of_week, cast(sum(check_in) as bigint) as check_in from (
