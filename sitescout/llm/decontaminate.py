@@ -4,7 +4,8 @@ Each benchmark item is cut into windows of 13 words (a shorter one is one window
 the windows are counted over the whole corpus. For each window the places of its two rarest
 words are taken from the index of (term, document, position) postings, shifted by the word's
 place in the window, and intersected. What is left is compared with the window word by word, by
-the words that the index keeps around the places of the rarest.
+the words that the index keeps around the places of the rarest. ``proximity`` returns exact and
+proximity matches from the same index: each word of a window stands at most ``slack`` words from its place.
 
 Words are runs of digits, letters a-z and all characters beyond ASCII, after A-Z are made lower
 case. Null texts, and items without words, match nothing. Rows equal in id and text are one
@@ -94,7 +95,7 @@ def intersect(index: DataFrame, terms: DataFrame, slack: int = 0) -> DataFrame:
     """(window, doc_id, _text_hash, start, position): where the rarest terms stand as in a window.
 
     ``position`` is that of the rarest term. With ``slack`` the second rarest may stand up to so
-    many words nearer or farther: these are proximity matches. Windows of one word have one list.
+    many words nearer or farther: what ``proximity_matches`` looks through. Windows of one word have one list.
     """
     terms = broadcast_if_small(stored(terms))
     shifted = index.join(terms, "term").select(
@@ -110,27 +111,52 @@ def intersect(index: DataFrame, terms: DataFrame, slack: int = 0) -> DataFrame:
     other = others.withColumnsRenamed({"window": "_w", "doc_id": "_d", "_text_hash": "_h", "start": "_s"})
     same = (first["window"] == other["_w"]) & first["doc_id"].eqNullSafe(other["_d"])
     same &= (first["_text_hash"] == other["_h"]) & (first["start"] == other["_s"])
-    return first.join(other, same, "left_semi").unionByName(alone).where("start >= 0").distinct()
+    return first.join(other, same, "left_semi").unionByName(alone).where(F.col("start") >= -slack).distinct()
 
 
-def phrase_matches(index: DataFrame, candidates: DataFrame, phrases: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(window, doc_id, _text_hash, start, length): candidates that have the window word by word."""
+def _in_context(index: DataFrame, candidates: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Candidates with the words around their rarest term and the phrase that may stand there."""
     phrases = broadcast_if_small(phrases.select("window", "phrase").distinct())
     context = index.where("around is not null").select(
         F.col("doc_id").alias("_d"), F.col("_text_hash").alias("_h"), F.col("position").alias("_p"), "around"
     )
     same = candidates["doc_id"].eqNullSafe(context["_d"]) & (candidates["_text_hash"] == context["_h"])
     same &= candidates["position"] == context["_p"]
+    return candidates.join(context, same).join(phrases, "window")
+
+
+def phrase_matches(index: DataFrame, candidates: DataFrame, phrases: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(window, doc_id, _text_hash, start, length): candidates that have the window word by word."""
     first = F.greatest(F.col("position") - (size - 1), F.lit(0))
     return (
-        candidates.join(context, same)
-        .join(phrases, "window")
+        _in_context(index, candidates, phrases)
         .where(F.slice("around", F.col("start") - first + 1, F.size("phrase")) == F.col("phrase"))
         .select("window", *ROW, "start", F.size("phrase").alias("length"))
         .distinct()
     )
 
 
+def proximity_matches(index: DataFrame, candidates: DataFrame, phrases: DataFrame, size: int, slack: int) -> DataFrame:
+    """(window, doc_id, _text_hash, start, length, exact): candidates with every word of the window near its place.
+
+    ``index`` keeps ``size + slack`` words around a place. ``start`` is where the window's first word would
+    be, by the place of its rarest; it is negative if the document begins later. ``exact`` says that all
+    words are in place.
+    """
+    first = F.greatest(F.col("position") - (size + slack - 1), F.lit(0))
+
+    def stands(j: Column, reach: int) -> Column:
+        place = F.col("start") + j - first
+        low = F.greatest(place - reach, F.lit(0))
+        near = F.slice("around", low + 1, F.greatest(place + reach - low + 1, F.lit(0)))
+        return F.array_contains(near, F.element_at("phrase", j + 1))
+
+    places = F.sequence(F.lit(0), F.size("phrase") - 1)
+    met = _in_context(index, candidates, phrases).where(F.forall(places, lambda j: stands(j, slack)))
+    exact = F.forall(places, lambda j: stands(j, 0))
+    return met.select("window", *ROW, "start", F.size("phrase").alias("length"), exact.alias("exact")).distinct()
+
+
 def find_phrases(corpus: DataFrame, phrases: DataFrame, size: int = WINDOW) -> DataFrame:
     """Every occurrence of every window in the documents. Both tables are stored ones."""
     terms = stored(window_terms(phrases, corpus))
@@ -139,6 +165,27 @@ def find_phrases(corpus: DataFrame, phrases: DataFrame, size: int = WINDOW) -> D
     return phrase_matches(index, stored(intersect(index, terms)), phrases, size)
 
 
+def find_near_phrases(corpus: DataFrame, phrases: DataFrame, slack: int, size: int = WINDOW) -> DataFrame:
+    """Every place of every window's rarest word that has the others near. Both tables are stored ones."""
+    terms = stored(window_terms(phrases, corpus))
+    keys = stored(terms.groupBy("term").agg((F.min("rank") == 1).alias("is_rarest")))
+    index = stored(postings(corpus, keys, size + slack))
+    return proximity_matches(index, stored(intersect(index, terms, slack)), phrases, size, slack)
+
+
+def proximity(docs: DataFrame, benchmark: DataFrame, slack: int, size: int = WINDOW) -> DataFrame:
+    """(doc_id, item_id, start, length, exact): exact phrase and proximity matches of benchmark windows.
+
+    Repeated rows of ``docs`` or ``benchmark`` give each match once. With a ``slack`` of 0 all are exact.
+    """
+    if slack < 0:
+        raise ValueError("slack must not be negative")
+    phrases = stored(phrase_windows(benchmark, size))
+    matches = find_near_phrases(stored(parsed(docs)), phrases, slack, size)
+    items = broadcast_if_small(phrases.select("window", "item_id"))
+    return matches.join(items, "window").select("doc_id", "item_id", "start", "length", "exact").distinct()
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least: float = 0.05) -> DataFrame:
     """doc_id, _text_hash, n_words, n_hit, n_items, items_sha256, contaminated for each row.
 
