@@ -103,11 +103,13 @@ def first_level(km: Column) -> Column:
 _FRAME = ("_face", "_towards", "_first", "_second")
 
 
-def with_covering(circles: DataFrame, lat: str = "lat", lon: str = "lon", km: str = "km") -> DataFrame:
+def with_covering(
+    circles: DataFrame, lat: str = "lat", lon: str = "lon", km: str = "km", rim_levels: int = RIM_LEVELS
+) -> DataFrame:
     """The circles with ``level`` and ``cell``, on one row for each cell of their covering.
 
     The cells of a circle hold the whole of it. They are of ``first_level``, given as ``level``, and the
-    next ``RIM_LEVELS`` levels, and none lies in another, so a place within the circle is in exactly one.
+    next ``rim_levels`` levels, and none lies in another, so a place within the circle is in exactly one.
     Cells are made, tested and split as rows, so that all of it runs as compiled code.
     """
     xyz = unit_vector(F.col(lat), F.col(lon))
@@ -136,7 +138,7 @@ def with_covering(circles: DataFrame, lat: str = "lat", lon: str = "lon", km: st
         return rows.where(F.col("_apart") - reach(level) <= radius)
 
     cells = touching(cells)
-    for step in range(RIM_LEVELS):
+    for step in range(rim_levels):
         i, j = F.col("_i"), F.col("_j")
         is_split = (level == F.col("level") + step) & (F.col("_apart") + reach(level) > radius)
         quarters = F.array(*[F.struct((i * 2 + di).alias("i"), (j * 2 + dj).alias("j"), (level + 1).alias("level")) for di in (0, 1) for dj in (0, 1)])

@@ -1,9 +1,15 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from sitescout import joins
 from sitescout.operators import checkins, sentiment
-from sitescout.plans.batch import batch_competitors, batch_top_competitors, site_report_batch
+from sitescout.plans import batch
+from sitescout.plans.batch import (
+    Search, batch_competitors, batch_hour_profile, batch_top_competitors, batch_weekday_profile, batch_word_counts,
+    find_competitors, site_report_batch,
+)
 from sitescout.plans.report import SiteTables, report_lines, site_report
 
 CATEGORIES = ["Food", "Coffee & Tea", "Bars", "Books", "Gyms"]
@@ -162,3 +168,34 @@ def test_no_threshold_keeps_those_without_a_match(spark, tables):
     site = [(1, 43.65, -79.38, 50.0, ["Food"])]
     found = batch_competitors(spark.createDataFrame(site, SCHEMA), tables.directory, tables.business_categories, threshold=0.0)
     assert {r.score for r in found.collect()} == {0.0, 1.0}
+
+
+def test_search_brings_facts_to_sites_as_found_pairs_do(spark, tables):
+    sites = spark.createDataFrame(SITES, SCHEMA)
+    first = tables.directory.where("business_id < 'b020'")
+    # some businesses have a second place in reach of the same sites, and a third that is not
+    near = first.withColumn("latitude", F.col("latitude") + 0.001)
+    directory = tables.directory.unionByName(near).unionByName(first.withColumn("latitude", F.lit(-60.0)))
+    cases = (
+        (0.5, lambda f: batch_weekday_profile(tables.checkin_daily, f)),
+        (0.0, lambda f: batch_hour_profile(tables.checkin_hourly, f)),
+        (0.5, lambda f: batch_word_counts(tables.sentiments, f, sentiment.NEGATIVE)),
+    )
+    for threshold, profile in cases:
+        found = joins.cut_lineage(find_competitors(sites, directory, tables.business_categories, threshold))
+        search = Search(sites, directory, tables.business_categories, threshold)
+        assert sorted(profile(search).collect()) == sorted(profile(found).collect()) != []
+
+
+def test_nothing_stored_grows_with_the_pairs(spark, tables, monkeypatch):
+    sites = spark.range(400).selectExpr(
+        "id as site_id", "43.655 as lat", "-79.375 as lon", "5D as km", "array('Food', 'Bars') as wanted"
+    ).withColumns({"lat": F.col("lat").cast("double"), "lon": F.col("lon").cast("double")})
+    counts = []
+    for name in ("cut_lineage", "stored"):
+        keep = getattr(batch, name, None)
+        if keep:
+            monkeypatch.setattr(batch, name, lambda df, *a, keep=keep: counts.append((kept := keep(df, *a)).count()) or kept)
+    found = batch_competitors(sites, tables.directory, tables.business_categories).count()
+    batch_weekday_profile(tables.checkin_daily, getattr(batch, "Search", find_competitors)(sites, tables.directory, tables.business_categories)).count()
+    assert found > 10_000 > 1_000 > max(counts)
