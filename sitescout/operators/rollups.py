@@ -33,17 +33,24 @@ def number_by_place(business: DataFrame) -> DataFrame:
 def category_bitmaps(pairs: DataFrame, business: DataFrame, numbers: DataFrame) -> DataFrame:
     """(category, state, city, block, bits): which businesses of a city are of a category.
 
-    Repeated pairs count once. Pairs of businesses that are not in the directory are left out.
+    Repeated pairs count once. Pairs of businesses that are not in the directory are left out. Pairs are
+    dealt by bitmap first, so that a bitmap is made once, in one task, and not sorted and merged from many.
     """
     places = business.select("business_id", *PLACE).distinct().join(numbers, "business_id")
     bit = F.bitmap_bit_position("number").alias("bit")
     placed = pairs.join(places, "business_id").select(*GROUP, F.bitmap_bucket_number("number").alias("block"), bit)
-    return placed.groupBy(*GROUP, "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    return _dealt(placed, *GROUP, "block").groupBy(*GROUP, "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def _dealt(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt to a fixed number of tasks. Bitmaps shrink a hundredfold when they are shuffled, so that by
+    that size a single task would be given those of all others, and sort them."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def distinct_businesses(bitmaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(*by, businesses): the number of different businesses of each group of ``by``, from bitmaps."""
-    merged = bitmaps.groupBy(*by, "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    merged = _dealt(bitmaps, *by, "block").groupBy(*by, "block").agg(F.bitmap_or_agg("bits").alias("bits"))
     return merged.groupBy(*by).agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("businesses"))
 
 

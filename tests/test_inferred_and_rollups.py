@@ -78,3 +78,12 @@ def test_nothing_to_count(spark):
     table = spark.createDataFrame([(1, "p")], "business_id long, category string")
     bitmaps = rollups.category_bitmaps(table, directory, rollups.number_by_place(directory))
     assert [tuple(r) for r in rollups.cardinality_levels(bitmaps).collect()] == [("all", None, None, None, 0)]
+
+
+def test_bitmaps_are_merged_in_a_fixed_number_of_tasks(spark):
+    schema = "category string, state string, city string, block long, bits binary"
+    bitmaps = spark.createDataFrame([("c", "s", "t", b, bytearray(b"\xff" * 4096)) for b in range(50)], schema)
+    merged = rollups.distinct_businesses(bitmaps, ["city"])
+    assert merged.first()["businesses"] == 50 * 32768
+    # dealt by number: else these bitmaps, all alike, are so small in a shuffle that one task gets them all
+    assert "REPARTITION_BY_NUM" in merged._jdf.queryExecution().toString()
